@@ -112,17 +112,21 @@ _word_cache: dict[str, str] = {}
 
 
 def common_word(token: str) -> str:
-    """The common word that ``token`` is, abbreviates or misspells; else ``token``."""
+    """The common word that ``token`` is, abbreviates or misspells, '' for a misspelt legal form; else ``token``."""
     known = _word_cache.get(token)
     if known is None:
         if token in _COMMON_SET:
             known = token
         elif token in SHORT:
             known = SHORT[token]
+        elif len(token) >= 6 and any(edits(token, w, 1) <= 1 for w in ("limited", "incorporated")):
+            known = ""
         else:
             near = [w for w in _COMMON if len(token) >= 4 and len(w) >= 4 and edits(token, w, 1) <= 1]
             if not near and 4 <= len(token) <= 6:
                 near = [w for w in _COMMON if len(w) >= len(token) + 2 and (w.startswith(token) or w[-1] == token[-1] and _squeezed(token, w))]
+            if not near and len(token) >= 5:
+                near = sorted({SHORT[w] for w in SHORT if len(w) >= 5 and edits(token, w, 1) <= 1})
             known = near[0] if len(near) == 1 else token
         if len(_word_cache) < 200_000:
             _word_cache[token] = known
@@ -168,8 +172,10 @@ def take_apart(raw: str, people: bool) -> tuple[str, str, str, str] | None:
     joined: list[str] = []
     for w in words:
         c = common_word(w)
-        if joined and joined[-1][0] == "part" and c not in _COMMON_SET:
-            joined[-1] = ("word", joined[-1][1] + c)
+        if not c:
+            continue
+        if joined and joined[-1][0] == "part" and w not in _COMMON_SET and w not in SHORT:
+            joined[-1] = ("word", joined[-1][1] + w)
         elif not joined and len(w) <= 4 and c not in _COMMON_SET:
             joined.append(("part", w))
         else:
