@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamarind.llm.leaks import find_leaks
 from tamarind.llm.mojibake import restore_texts
 from tamarind.llm.names import link_names, name_pairs
 from tamarind.session import table
@@ -24,6 +25,10 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return name_pairs(link_names(reduce(DataFrame.unionByName, names)))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), "doc_id", "text", "item_id", "item_text")
+
+
 def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The restored text of every document with a wrongly decoded sequence, and the chains undone."""
     return restore_texts(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
@@ -34,7 +39,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p10_found": p10_found, "p10_restored": p10_restored}
+    return {"p1_found": p1_found, "p8_found": p8_found, "p10_found": p10_found, "p10_restored": p10_restored}
 
 
 def oracle_sql() -> dict:
