@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamarind.llm.leaks import find_leaks
+from tamarind.llm.mixing import mix_documents, mix_report
 from tamarind.llm.mojibake import restore_texts
 from tamarind.llm.names import link_names, name_pairs
+from tamarind.llm.pieces import split_documents
 from tamarind.session import table
 
 
@@ -25,10 +27,32 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return name_pairs(link_names(reduce(DataFrame.unionByName, names)))
 
 
+def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every extracted file, each within the project's limit."""
+    files = table(spark, sf_dir, "extracted_documents")
+    return split_documents(files, ["tender_resource_id", "source_file"], "content", version="extraction_timestamp").distinct()
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "extracted_documents")
+    pieces = split_documents(files, ["tender_resource_id", "source_file"], "content", version="extraction_timestamp")
+    return pieces.where("n_pieces > 1").select("tender_resource_id", "source_file").distinct()
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), "doc_id", "text", "item_id", "item_text")
 
 
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents drawn and how often each is used, at the largest total that meets every source's share."""
+    return mix_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"), "doc_id", "text", "source")
+
+
+def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shares reached."""
+    return mix_report(p9_mix(spark, sf_dir), table(spark, sf_dir, "mix_targets"), "source")
+
+
 def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The restored text of every document with a wrongly decoded sequence, and the chains undone."""
     return restore_texts(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
@@ -39,7 +63,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p8_found": p8_found, "p10_found": p10_found, "p10_restored": p10_restored}
+    return {"p1_found": p1_found, "p5_found": p5_found, "p5_pieces": p5_pieces, "p8_found": p8_found, "p9_mix": p9_mix, "p9_report": p9_report, "p10_found": p10_found, "p10_restored": p10_restored}
 
 
 def oracle_sql() -> dict:
