@@ -7,7 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamarind.functions.instants import instant
 from tamarind.llm.leaks import find_leaks
+from tamarind.llm.matching import match_records
 from tamarind.llm.mixing import mix_documents, mix_report
 from tamarind.llm.mojibake import restore_texts
 from tamarind.llm.names import link_names, name_pairs
@@ -39,6 +41,33 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.where("n_pieces > 1").select("tender_resource_id", "source_file").distinct()
 
 
+def p7_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each award notice's tender, with the confidence."""
+
+    def latest(df: DataFrame, *fields: str) -> DataFrame:
+        row = F.max(F.struct("extraction_timestamp", "id", *fields)).alias("r")
+        return df.where("resource_id is not null").groupBy("resource_id").agg(row).select("resource_id", *[F.col(f"r.{f}").alias(f) for f in fields])
+
+    tenders = latest(
+        table(spark, sf_dir, "tenders_all"), "title", "procuring_entity", "project_reference_number", "submission_deadline", "publication_date", "status"
+    ).where(F.lower(F.trim(F.coalesce("status", F.lit("")))) != "cancelled")
+    notices = latest(table(spark, sf_dir, "award_details_all").where("title is not null"), "title", "official_name", "tender_reference_number", "contract_award_date_raw")
+    left = tenders.select(
+        F.col("resource_id").alias("id"), "title", F.col("procuring_entity").alias("entity"), F.col("project_reference_number").alias("reference"),
+        instant(F.col("submission_deadline")).alias("opened"), instant(F.col("publication_date")).alias("published"),
+    )
+    when = instant(F.col("contract_award_date_raw"))
+    right = notices.select(
+        F.col("resource_id").alias("id"), "title", F.col("official_name").alias("entity"), F.col("tender_reference_number").alias("reference"),
+        when.alias("opened"), when.alias("published"),
+    )
+    return match_records(left, right).select(F.col("left_id").alias("tender_resource_id"), F.col("right_id").alias("award_resource_id"), "confidence")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p7_matches(spark, sf_dir).select("tender_resource_id", "award_resource_id").distinct()
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), "doc_id", "text", "item_id", "item_text")
 
@@ -63,7 +92,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p5_found": p5_found, "p5_pieces": p5_pieces, "p8_found": p8_found, "p9_mix": p9_mix, "p9_report": p9_report, "p10_found": p10_found, "p10_restored": p10_restored}
+    return {"p1_found": p1_found, "p5_found": p5_found, "p5_pieces": p5_pieces, "p7_found": p7_found, "p7_matches": p7_matches, "p8_found": p8_found, "p9_mix": p9_mix, "p9_report": p9_report, "p10_found": p10_found, "p10_restored": p10_restored}
 
 
 def oracle_sql() -> dict:
