@@ -27,12 +27,14 @@ from pyspark.sql import functions as F
 from tamarind.session import spread
 
 BUCKETS = 1 << 14
-RANK = 192
+RANK = 112
 OVERSAMPLE = 16
 PASSAGE = 20
 STRIDE = 5
 ITEM_STRIDE = 5
-MIN_COSINE = 0.5
+MIN_COSINE = 0.75
+#: A passage is compared with an item's passages only if it is this near to the item as a whole, of which it would be a part.
+MIN_COARSE = 0.3
 MIN_WORDS = 20
 #: Items compared at once: bounds what a task holds of the query set.
 ITEM_BLOCK = 1_000
@@ -80,20 +82,39 @@ def _add_rows(into: np.ndarray, cols: np.ndarray, rows: np.ndarray) -> None:
 
 
 def _outer(batches: Iterator[list[np.ndarray]], idf: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, float]:
-    """A'(A basis) over the passages of the texts, and the passages' energy."""
+    """A'(A basis) over the passages of the texts, and the passages' energy. Passages lie end to end, so each word counts once."""
     weighted = basis * idf[:, None]
     out = np.zeros_like(basis)
     energy = 0.0
+    for cols, starts in _chunks(batches):
+        y = np.add.reduceat(weighted[cols], starts, axis=0)
+        size = np.diff(np.r_[starts, len(cols)])
+        _add_rows(out, cols, np.repeat(y, size, axis=0) * idf[cols][:, None])
+        energy += float((idf[cols] ** 2).sum())
+    return out, energy
+
+
+def _chunks(batches: Iterator[list[np.ndarray]], words_at_once: int = 16_384) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Columns of many texts in a row and where their passages start; a long text is spread over chunks."""
+    held: list[np.ndarray] = []
+    n = 0
     for texts in batches:
         for cols in texts:
-            spans = _windows(len(cols), PASSAGE, PASSAGE)
-            if not spans:
-                continue
-            y = _project(cols, spans, weighted)
-            at = np.minimum(np.arange(len(cols)) // PASSAGE, len(spans) - 1)
-            _add_rows(out, cols, y[at] * idf[cols][:, None])
-            energy += float((idf[cols] ** 2).sum())
-    return out, energy
+            for at in range(0, len(cols), words_at_once // PASSAGE * PASSAGE):
+                part = cols[at : at + words_at_once // PASSAGE * PASSAGE]
+                held.append(part)
+                n += len(part)
+                if n >= words_at_once:
+                    yield _laid(held)
+                    held, n = [], 0
+    if held:
+        yield _laid(held)
+
+
+def _laid(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    offsets = np.cumsum([0, *map(len, held)])
+    starts = np.concatenate([np.arange(o, o + len(c), PASSAGE) for o, c in zip(offsets, held)])
+    return np.concatenate(held), starts
 
 
 def _texts(it: Iterator[pd.DataFrame]) -> Iterator[list[np.ndarray]]:
@@ -233,16 +254,18 @@ def find_leaks(
         columns = [_columns(w) for _, w in texts]
         idf = np.log((n + 2.0) / (df + 1.0)).astype(np.float32) + np.float32(0.01)
         basis = latent_basis(corpus.select("t"), columns, idf) * idf[:, None]
-        vectors, owner = [], []
+        vectors, owner, whole = [], [], []
         for q, cols in enumerate(columns):
             v = _project(cols, _windows(len(cols), PASSAGE, ITEM_STRIDE), basis)
             vectors.append(v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9))
             owner.append(np.full(len(v), q))
-        shared = spark.sparkContext.broadcast((texts, np.concatenate(vectors), np.concatenate(owner), basis, idf))
+            centre = _project(cols, [(0, len(cols))], basis)[0]
+            whole.append(centre / max(float(np.linalg.norm(centre)), 1e-9))
+        shared = spark.sparkContext.broadcast((texts, np.concatenate(vectors), np.concatenate(owner), np.stack(whole), basis))
 
         def search(it: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            known, vectors, owner, basis, idf = shared.value
-            starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            known, vectors, owner, whole, basis = shared.value
+            starts = np.r_[np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]), len(owner)]
             for pdf in it:
                 out = []
                 for key, text in zip(pdf["k"], pdf["t"]):
@@ -259,7 +282,10 @@ def find_leaks(
                         local = cols[low : part[-1][1]]
                         v = _project(local, [(a - low, b - low) for a, b in part], basis)
                         v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
-                        near |= np.maximum.reduceat((v @ vectors.T).max(axis=0), starts) >= min_cosine
+                        coarse = v @ whole.T >= MIN_COARSE
+                        for q in np.flatnonzero(coarse.any(axis=0) & ~near):
+                            own = vectors[starts[q] : starts[q + 1]]
+                            near[q] = (v[coarse[:, q]] @ own.T).max() >= min_cosine
                     for q in np.flatnonzero(near):
                         if repeats(known[q][1], doc):
                             out.append((known[q][0], key))
