@@ -1,11 +1,11 @@
 """Named queries and their SQL."""
 
-from tamarind.plans import dealt
+from tamarind.plans import dealt, reference
 
 
 def queries() -> dict:
-    return {**dealt.queries()}
+    return {**reference.QUERIES, **dealt.queries()}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {**reference.SQL, **dealt.oracle_sql()}
