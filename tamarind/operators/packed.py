@@ -23,8 +23,8 @@ CPV_CODE = r"\d{8}-\d"
 CATEGORY_CODE = r"[A-Z]{1,3}\d{2}"
 SMALL_RULES = 50_000
 _MARK = "\u0001"
-#: A list mark in front of the next value: a bullet, a number, a letter.
-_LIST = re.compile(r"(?:(?<=[\s ,;|/&\"'])|^)(?:[-*•·–—]|\(?\d{1,4}[.)]|\(?[a-zA-Z][.)])$")
+#: A list mark in front of the next value: a bullet or a number.
+_LIST = re.compile(r"(?:(?<=[\s ,;|/&\"'])|^)(?:[-*•·–—]|\(?\d{1,4}[.)])$")
 
 
 def skeleton(piece: Column) -> Column:
