@@ -14,25 +14,25 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _objects(rows: DataFrame, array: Column, schema: str) -> DataFrame:
+    """The objects of a JSON array's text, typed; items that are no objects are dropped."""
+    items = rows.select(F.explode(F.from_json(array, "array<string>")).alias("item")).where(F.trim("item").startswith("{"))
+    return items.select(F.from_json("item", schema).alias("r")).select("r.*")
+
+
 def read_listing(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A JSON array of objects; items that are no objects are dropped."""
-    rows = spark.read.schema(f"{schema}, __bad string").option("columnNameOfCorruptRecord", "__bad").json(path, multiLine=True)
-    named = [c for c in rows.columns if c != "__bad"]
-    return rows.where(F.col("__bad").isNull() & F.greatest(*[F.col(c).isNotNull() for c in named], F.lit(False))).select(*named)
+    """A JSON array of objects a file; items that are no objects are dropped, a file that is no array gives none."""
+    return _objects(spark.read.text(path, wholetext=True), F.col("value"), schema)
 
 
-def read_envelope(spark: SparkSession, path: str, record: str, field: str = "records") -> DataFrame:
+def read_envelope(spark: SparkSession, path: str, schema: str, field: str = "records") -> DataFrame:
     """Records out of ``{field: [...]}`` or out of a bare array of them, whichever a file holds."""
-    rows = spark.read.schema(f"{field} array<struct<{record}>>, {record}").json(path, multiLine=True)
-    inner = rows.where(F.col(field).isNotNull()).select(F.explode(field).alias("r")).select("r.*")
-    names = inner.columns
-    bare = rows.where(F.col(field).isNull()).select(*names)
-    return inner.unionByName(bare).where(F.greatest(*[F.col(c).isNotNull() for c in names], F.lit(False)))
+    return _objects(spark.read.text(path, wholetext=True), F.coalesce(F.get_json_object("value", f"$.{field}"), F.col("value")), schema)
 
 
 def newest_file(spark: SparkSession, pattern: str) -> str | None:
