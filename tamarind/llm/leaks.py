@@ -193,7 +193,7 @@ def repeats(item: list[str], doc: list[str], least: int = MIN_WORDS) -> bool:
     """Whether ``doc`` holds ``least`` or more consecutive words of ``item``, a tenth of them altered, missing or added.
 
     From every place where a run of equal words begins, the furthest reach of each number of differences is followed on the
-    diagonals around it; a reach of L words with at most L/10 differences is a finding.
+    diagonals around it; a reach of L words with at most L/10 differences is a finding. It begins and ends with equal words.
     """
     if len(item) < least:
         return False
@@ -210,13 +210,15 @@ def repeats(item: list[str], doc: list[str], least: int = MIN_WORDS) -> bool:
             while e <= (m - i0) // 10:
                 best = 0
                 for d, i in list(reach.items()):
+                    first = i
                     while i < m and 0 <= i + j0 - i0 + d < n and item[i] == doc[i + j0 - i0 + d]:
                         i += 1
                     reach[d] = i
-                    best = max(best, i - i0)
+                    if i > first:
+                        best = max(best, i - i0)
                 if best >= max(least, 10 * e):
                     return True
-                if best < 10 * e - least:
+                if max(reach.values()) - i0 < 10 * e - least:
                     break  # what follows would have to be a finding of its own
                 e += 1
                 grown: dict[int, int] = {}

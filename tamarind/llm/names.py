@@ -108,6 +108,27 @@ def allowed(length: int) -> int:
     return 0 if length < 4 else 1 if length < 14 else 2
 
 
+def less_one(word: str) -> set[str]:
+    """``word`` and all that is left of it without one letter: words one edit apart have one of these in common."""
+    return {word, *(word[:i] + word[i + 1 :] for i in range(len(word)))}
+
+
+def _neighbours(words: list[str]) -> dict[str, list[str]]:
+    out: dict[str, list[str]] = {}
+    for w in words:
+        for d in less_one(w):
+            out.setdefault(d, []).append(w)
+    return out
+
+
+_NEAR_COMMON = _neighbours([w for w in _COMMON if len(w) >= 4])
+_NEAR_SHORT = _neighbours([w for w in SHORT if len(w) >= 5])
+
+
+def _one_edit(token: str, index: dict[str, list[str]]) -> set[str]:
+    return {w for d in less_one(token) for w in index.get(d, ()) if edits(token, w, 1) <= 1}
+
+
 _word_cache: dict[str, str] = {}
 
 
@@ -122,11 +143,11 @@ def common_word(token: str) -> str:
         elif len(token) >= 6 and any(edits(token, w, 1) <= 1 for w in ("limited", "incorporated")):
             known = ""
         else:
-            near = [w for w in _COMMON if len(token) >= 4 and len(w) >= 4 and edits(token, w, 1) <= 1]
+            near = sorted(_one_edit(token, _NEAR_COMMON)) if len(token) >= 4 else []
             if not near and 4 <= len(token) <= 6:
                 near = [w for w in _COMMON if len(w) >= len(token) + 2 and (w.startswith(token) or w[-1] == token[-1] and _squeezed(token, w))]
             if not near and len(token) >= 5:
-                near = sorted({SHORT[w] for w in SHORT if len(w) >= 5 and edits(token, w, 1) <= 1})
+                near = sorted({SHORT[w] for w in _one_edit(token, _NEAR_SHORT)})
             known = near[0] if len(near) == 1 else token
         if len(_word_cache) < 200_000:
             _word_cache[token] = known
@@ -166,7 +187,7 @@ def take_apart(raw: str, people: bool) -> tuple[str, str, str, str] | None:
     tokens = re.findall(r"[a-z0-9]+", text)
     words = [w for w in tokens if w not in _DROPPED]
     if people:
-        person = _person(words, text)
+        person = _person([w for w in tokens if len(w) == 1 or w not in _DROPPED], text)
         if person:
             return person
     joined: list[str] = []
