@@ -203,7 +203,7 @@ def take_apart(raw: str, people: bool) -> tuple[str, str, str, str] | None:
             joined.append(("word", c))
     flat = [w for _, w in joined]
     rest = sorted({w for w in flat if w in _COMMON_SET})
-    if people and len(rest) > 1 and "company" in rest and "and co" not in text and "and company" not in text and "and" not in tokens:
+    if people and len(rest) > 1 and "company" in rest and not re.search(r"\band\s+co(mpany)?\b", text):
         rest.remove("company")
     head = [w for w in flat if w not in _COMMON_SET]
     if not head and not rest:

@@ -95,5 +95,22 @@ def queries() -> dict:
     return {"p1_found": p1_found, "p5_found": p5_found, "p5_pieces": p5_pieces, "p7_found": p7_found, "p7_matches": p7_matches, "p8_found": p8_found, "p9_mix": p9_mix, "p9_report": p9_report, "p10_found": p10_found, "p10_restored": p10_restored}
 
 
+_P5_SQL = r"""
+WITH f AS (SELECT tender_resource_id, source_file, extraction_timestamp, content FROM extracted_documents WHERE content.markdown IS NOT NULL
+  OR content.raw_text IS NOT NULL OR content.chunks IS NOT NULL OR content.pages IS NOT NULL OR content.slides IS NOT NULL),
+t AS (SELECT tender_resource_id, source_file, content, rank() OVER (PARTITION BY tender_resource_id, source_file ORDER BY extraction_timestamp DESC) AS n FROM f),
+p AS (SELECT tender_resource_id, source_file, CASE
+  WHEN trim(coalesce(content.markdown, '')) <> '' THEN [content.markdown]
+  WHEN trim(coalesce(content.raw_text, '')) <> '' THEN [content.raw_text]
+  WHEN content.chunks IS NOT NULL THEN list_transform(content.chunks, lambda c: c.text)
+  WHEN content.slides IS NOT NULL THEN flatten(list_transform(content.slides, lambda s: coalesce(s.texts, [])))
+  ELSE flatten(list_transform(content.pages, lambda g: list_concat([g.text], list_transform(coalesce(g.tables, []), lambda t: array_to_string(list_filter(
+    list_transform(t, lambda r: array_to_string(list_filter(list_transform(r, lambda c: trim(coalesce(c, ''))), lambda c: c <> ''), ' | ')),
+    lambda l: l <> ''), chr(10)))))) END AS parts FROM t WHERE n = 1)
+SELECT DISTINCT tender_resource_id, source_file FROM p
+WHERE length(array_to_string(list_filter(list_transform(parts, lambda x: regexp_replace(coalesce(x, ''), '^\s+|\s+$', '', 'g')), lambda x: x <> ''), chr(10) || chr(10))) > 26000
+"""
+
+
 def oracle_sql() -> dict:
-    return {}
+    return {"p5_found": _P5_SQL}
