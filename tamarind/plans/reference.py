@@ -513,3 +513,149 @@ def _(spark, d):
 def _(spark, d):
     line = lambda label, c, none: F.concat(F.lit(f"{label}: "), F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit(none)))
     return _tenders(spark, d).select("id", F.concat_ws("\n", line("Title", "title", "Not stated"), line("Entity", "procuring_entity", "Not stated"), line("Codes", "cpv_codes", "None")).alias("header"))
+
+
+# --- further rows of the inventory ----------------------------------------------------------------------------------------------------
+@query("a9_u1_paged_union", "SELECT id, 'tender' AS kind FROM tenders_all UNION ALL SELECT id, 'award' FROM awards_all")
+def _(spark, d):
+    return _tenders(spark, d).select("id", F.lit("tender").alias("kind")).unionByName(table(spark, d, "awards_all").select("id", F.lit("award").alias("kind")))
+
+
+@query("a12_fields_to_rows", "SELECT id, unnest(['title', 'status', 'funding_source']) AS label, unnest([title, status, funding_source]) AS value FROM tenders_all")
+def _(spark, d):
+    pairs = F.array(*[F.struct(F.lit(c).alias("label"), F.col(c).alias("value")) for c in ("title", "status", "funding_source")])
+    return _tenders(spark, d).select("id", F.explode(pairs).alias("p")).select("id", "p.label", "p.value")
+
+
+@query("a25_manifest_defaults", "SELECT DISTINCT t.resource_id, coalesce(f.n, 0)::BIGINT AS n_files FROM tenders_all t LEFT JOIN (SELECT tender_resource_id, count(DISTINCT source_file) AS n FROM extracted_documents GROUP BY 1) f ON t.resource_id = f.tender_resource_id")
+def _(spark, d):
+    n = table(spark, d, "extracted_documents").groupBy(F.col("tender_resource_id").alias("resource_id")).agg(F.countDistinct("source_file").alias("n"))
+    return _tenders(spark, d).select("resource_id").distinct().join(n, "resource_id", "left").select("resource_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_files"))
+
+
+@query("b5_b13_chained_filters", "SELECT id FROM tenders_all WHERE lower(procurement_type) = 'works' AND (contains(lower(coalesce(title, '')), 'bridge') OR contains(lower(coalesce(detailed_description, '')), 'bridge') OR contains(lower(coalesce(funding_source, '')), 'bridge')) AND contains(competition_unique_id, '2026')")
+def _(spark, d):
+    has = [F.lower(F.coalesce(c, F.lit(""))).contains("bridge") for c in ("title", "detailed_description", "funding_source")]
+    t = _tenders(spark, d).where(F.lower("procurement_type") == "works").where(R.any_of(*has))
+    return t.where(F.col("competition_unique_id").contains("2026")).select("id")
+
+
+@query("b15_past_dropped", f"SELECT event_id FROM events WHERE NOT coalesce(ts < TIMESTAMP '{NOW}', false)")
+def _(spark, d):
+    return R.delete_where(table(spark, d, "events"), F.expr(f"ts < timestamp_ntz '{NOW}'")).select("event_id")
+
+
+@query("b17_future_or_unknown", f"SELECT o_orderkey FROM orders WHERE coalesce(o_orderdate > TIMESTAMP '1997-01-01', true)")
+def _(spark, d):
+    return table(spark, d, "orders").where("coalesce(o_orderdate > timestamp_ntz '1997-01-01 00:00:00', true)").select("o_orderkey")
+
+
+@query("b22_stale_since", "SELECT tender_resource_id, max(epoch_us(extraction_timestamp)) AS last_micros FROM extracted_documents GROUP BY 1 HAVING max(extraction_timestamp) < TIMESTAMPTZ '2025-06-01 00:00:00+00'")
+def _(spark, d):
+    g = table(spark, d, "extracted_documents").groupBy("tender_resource_id").agg(F.max("extraction_timestamp").alias("m"))
+    return g.where(F.col("m") < F.lit("2025-06-01 00:00:00").cast("timestamp")).select("tender_resource_id", F.unix_micros("m").alias("last_micros"))
+
+
+@query("b23_pending_folders", "SELECT DISTINCT d.tender_folder FROM documents d WHERE d.tender_folder IS NOT NULL AND d.tender_folder NOT LIKE 'RFQ%' AND d.tender_folder NOT IN (SELECT replace(competition_unique_id, '/', '_') FROM tender_snapshots WHERE competition_unique_id IS NOT NULL)")
+def _(spark, d):
+    folders = table(spark, d, "documents").where("tender_folder is not null and tender_folder not like 'RFQ%'").select("tender_folder").distinct()
+    done = table(spark, d, "tender_snapshots").where("competition_unique_id is not null").select(F.replace("competition_unique_id", F.lit("/"), F.lit("_")).alias("tender_folder")).distinct()
+    return folders.join(done, "tender_folder", "left_anti")
+
+
+@query("j5_restore_from_mirror", "WITH m AS (SELECT resource_id, min(competition_unique_id) AS uid FROM tender_snapshots GROUP BY 1) SELECT t.id, coalesce(CASE WHEN t.id % 4 = 0 THEN NULL ELSE t.competition_unique_id END, m.uid) AS competition_unique_id FROM tenders_all t LEFT JOIN m ON t.resource_id = m.resource_id")
+def _(spark, d):
+    mirror = table(spark, d, "tender_snapshots").groupBy("resource_id").agg(F.min("competition_unique_id").alias("uid"))
+    lost = _tenders(spark, d).select("id", "resource_id", F.when(F.col("id") % 4 != 0, F.col("competition_unique_id")).alias("own"))
+    return lost.join(mirror, "resource_id", "left").select("id", F.coalesce("own", "uid").alias("competition_unique_id"))
+
+
+@query("j12_changes_by_base_name", "WITH o AS (SELECT DISTINCT source_file AS f FROM extracted_documents WHERE extraction_status = 'completed'), n AS (SELECT DISTINCT regexp_extract('docs/' || source_file, '([^/]*)$', 1) AS f FROM extracted_documents WHERE extension <> '.txt') SELECT f, CASE WHEN o.f IS NULL THEN 'new' ELSE 'deleted' END AS state FROM o FULL JOIN n USING (f) WHERE o.f IS NULL OR n.f IS NULL")
+def _(spark, d):
+    e = table(spark, d, "extracted_documents").select("source_file", "extension", "extraction_status")
+    old = e.where("extraction_status = 'completed'").select(F.col("source_file").alias("f")).distinct().withColumn("x", F.lit(1))
+    new = e.where("extension <> '.txt'").select(S.base_name(F.concat(F.lit("docs/"), "source_file")).alias("f")).distinct().withColumn("x", F.lit(1))
+    return R.manifest_changes(old, new, ["f"], ["x"])
+
+
+@query("j14_j15_best_candidate", "WITH q AS (SELECT resource_id, min(title) AS title FROM award_details_all WHERE title IS NOT NULL GROUP BY 1), t AS (SELECT resource_id AS rid, min(title) AS title FROM tenders_all WHERE title IS NOT NULL GROUP BY 1), m AS (SELECT q.resource_id, min(t.rid) AS rid, count(*) AS n FROM q JOIN t ON lower(q.title) = lower(t.title) GROUP BY 1) SELECT resource_id, rid, n FROM m")
+def _(spark, d):
+    """Candidates by equal titles, case ignored, the least id accepted: an equi-join instead of a pattern scan for each record."""
+    q = table(spark, d, "award_details_all").where("title is not null").groupBy("resource_id").agg(F.lower(F.min("title")).alias("k"))
+    t = _tenders(spark, d).where("title is not null").groupBy(F.col("resource_id").alias("rid")).agg(F.lower(F.min("title")).alias("k"))
+    return q.join(t, "k").groupBy("resource_id").agg(F.min("rid").alias("rid"), F.count("*").alias("n"))
+
+
+@query("pj3_renamed_patch", "SELECT resource_id, title AS name, cpv_codes AS codes, cpv_codes AS codes_raw FROM award_details_all WHERE title IS NOT NULL OR cpv_codes IS NOT NULL")
+def _(spark, d):
+    a = table(spark, d, "award_details_all").where("title is not null or cpv_codes is not null")
+    return a.select("resource_id", F.col("title").alias("name"), F.col("cpv_codes").alias("codes"), F.col("cpv_codes").alias("codes_raw"))
+
+
+@query("pj4_pj5_whitelist_defaults", "SELECT coalesce(TRY_CAST(row_no AS INT), 0) AS row_no, coalesce(title, '') AS title, coalesce(status, 'Open') AS status, false AS is_active FROM tenders_all")
+def _(spark, d):
+    return _tenders(spark, d).select(
+        F.coalesce(F.col("row_no").try_cast("int"), F.lit(0)).alias("row_no"), F.coalesce("title", F.lit("")).alias("title"), F.coalesce("status", F.lit("Open")).alias("status"), F.lit(False).alias("is_active")
+    )
+
+
+@query("pj6_pj7_summary_view", "WITH d AS (SELECT resource_id, max(nullif(title, '')) AS title FROM award_details_all GROUP BY 1) SELECT a.id, coalesce(nullif(a.title, ''), d.title, 'Untitled') AS title, d.title IS NOT NULL AS has_notice FROM awards_all a LEFT JOIN d USING (resource_id)")
+def _(spark, d):
+    one = table(spark, d, "award_details_all").groupBy("resource_id").agg(F.max(F.nullif("title", F.lit(""))).alias("dt"))
+    a = table(spark, d, "awards_all").select("id", "resource_id", "title").join(one, "resource_id", "left")
+    return a.select("id", F.coalesce(F.nullif("title", F.lit("")), "dt", F.lit("Untitled")).alias("title"), F.col("dt").isNotNull().alias("has_notice"))
+
+
+@query("pj9_prefixed_columns", "SELECT id AS db_id, title AS db_title, status AS db_status FROM tenders_all")
+def _(spark, d):
+    return _tenders(spark, d).select(*[F.col(c).alias(f"db_{c}") for c in ("id", "title", "status")])
+
+
+@query("pj12_file_names", "SELECT id, concat_ws('_', resource_id, coalesce(pdf_resource_id, 'contract'), row_no) || '.pdf' AS file_name FROM awards_all")
+def _(spark, d):
+    return table(spark, d, "awards_all").select("id", F.concat(F.concat_ws("_", "resource_id", F.coalesce("pdf_resource_id", F.lit("contract")), "row_no"), F.lit(".pdf")).alias("file_name"))
+
+
+@query("h12_h13_iso_instants", "SELECT id, epoch_us(TRY_CAST(award_date_raw AS TIMESTAMPTZ)) AS utc_micros FROM awards_all WHERE regexp_matches(award_date_raw, '^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}(Z|[+-]\\d{2}:\\d{2})$')")
+def _(spark, d):
+    a = table(spark, d, "awards_all").where(F.col("award_date_raw").rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(Z|[+-]\d{2}:\d{2})$"))
+    return a.select("id", F.unix_micros(F.col("award_date_raw").try_cast("timestamp")).alias("utc_micros"))
+
+
+@query("h20_h21_labelled_sections", "SELECT doc_id, nullif(regexp_extract(text, 'Clause (\\d+\\.\\d+): ([^.]*)\\.', 2), '') AS duty, nullif(regexp_extract(text, 'before (\\d{1,2} [A-Z][a-z]+ \\d{4})', 1), '') AS before FROM documents")
+def _(spark, d):
+    pick = lambda p, i: F.nullif(F.regexp_extract("text", p, i), F.lit(""))
+    return table(spark, d, "documents").select("doc_id", pick(r"Clause (\d+\.\d+): ([^.]*)\.", 2).alias("duty"), pick(r"before (\d{1,2} [A-Z][a-z]+ \d{4})", 1).alias("before"))
+
+
+@query("h25_text_of_arms", "SELECT tender_resource_id, source_file, length(coalesce(content.markdown, content.raw_text)) AS n, CASE WHEN content.markdown IS NOT NULL THEN 'markdown' WHEN content.raw_text IS NOT NULL THEN 'raw_text' WHEN content.chunks IS NOT NULL THEN 'chunks' WHEN content.pages IS NOT NULL THEN 'pages' WHEN content.slides IS NOT NULL THEN 'slides' ELSE 'none' END AS arm FROM extracted_documents")
+def _(spark, d):
+    arm = F.lit("none")
+    for a in ("slides", "pages", "chunks", "raw_text", "markdown"):
+        arm = F.when(F.col(f"content.{a}").isNotNull(), a).otherwise(arm)
+    return table(spark, d, "extracted_documents").select("tender_resource_id", "source_file", F.length(F.coalesce("content.markdown", "content.raw_text")).alias("n"), arm.alias("arm"))
+
+
+@query("h28_base64url", "SELECT doc_id, substr(source, 1, 40) AS back FROM documents")
+def _(spark, d):
+    code = F.regexp_replace(F.translate(F.base64(F.encode(F.substring("source", 1, 40), "UTF-8")), "+/", "-_"), "=+$", "")
+    return table(spark, d, "documents").select("doc_id", S.from_base64url(code).alias("back"))
+
+
+@query("o6_o7_capped_lists", "SELECT c_nationkey, array_to_string(list_sort(list(c_custkey))[1:5], ',') AS first_ids FROM customer GROUP BY 1 ORDER BY 1 LIMIT 10")
+def _(spark, d):
+    c = table(spark, d, "customer").groupBy("c_nationkey").agg(F.array_join(F.slice(F.array_sort(F.collect_list("c_custkey")), 1, 5).cast("array<string>"), ",").alias("first_ids"))
+    return c.orderBy("c_nationkey").limit(10)
+
+
+@query("u5_u6_distinct_ignoring_case", "SELECT lower(procuring_entity) AS entity, min(procuring_entity) AS spelling, count(*) AS n FROM awards_all WHERE trim(procuring_entity) <> '' GROUP BY 1")
+def _(spark, d):
+    a = table(spark, d, "awards_all").where("trim(procuring_entity) <> ''")
+    return a.groupBy(F.lower("procuring_entity").alias("entity")).agg(F.min("procuring_entity").alias("spelling"), F.count("*").alias("n"))
+
+
+@query("d13_skip_done_or_failed", "SELECT tender_resource_id, source_file FROM extracted_documents GROUP BY 1, 2 HAVING count(*) FILTER (extraction_status IN ('completed', 'failed')) = 0")
+def _(spark, d):
+    e = table(spark, d, "extracted_documents").select("tender_resource_id", "source_file", "extraction_status")
+    done = e.where(F.col("extraction_status").isin("completed", "failed")).select("tender_resource_id", "source_file").distinct()
+    return e.select("tender_resource_id", "source_file").distinct().join(done, ["tender_resource_id", "source_file"], "left_anti")
