@@ -80,5 +80,25 @@ def queries() -> dict:
     return {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found}
 
 
+# The deadlines of the snapshots come in two notations, day first and ISO, which this SQL reads on its own.
+_P2_SQL = r"""
+WITH c AS (SELECT snapshot_date, resource_id, extraction_timestamp, trim(regexp_replace(coalesce(submission_deadline, ''), '[\s\x{00a0}]+', ' ', 'g')) AS s,
+  trim(regexp_replace(coalesce(title, ''), '[\s\x{00a0}]+', ' ', 'g')) AS title, trim(regexp_replace(coalesce(procurement_type, ''), '[\s\x{00a0}]+', ' ', 'g')) AS kind,
+  trim(regexp_replace(coalesce(status, ''), '[\s\x{00a0}]+', ' ', 'g')) AS status, trim(regexp_replace(coalesce(detailed_description, ''), '[\s\x{00a0}]+', ' ', 'g')) AS descr
+  FROM tender_snapshots WHERE snapshot_date IS NOT NULL AND resource_id IS NOT NULL),
+z AS (SELECT *, regexp_extract(s, '^(\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}(:\d{2})?)', 1) AS day_first, replace(regexp_extract(s, '^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2})', 1), 'T', ' ') AS iso,
+  CASE WHEN s LIKE '%Z' THEN '+00:00' ELSE coalesce(nullif(regexp_extract(s, '([+-]\d{2}:\d{2})$', 1), ''), '-05:00') END AS zone FROM c),
+t AS (SELECT *, CASE WHEN day_first <> '' THEN epoch_us(coalesce(try_strptime(day_first, '%d/%m/%Y %H:%M:%S'), try_strptime(day_first, '%d/%m/%Y %H:%M'))) + 18000000000
+  WHEN iso <> '' THEN epoch_us(try_strptime(iso, '%Y-%m-%d %H:%M:%S')) - (CASE WHEN zone LIKE '-%' THEN -1 ELSE 1 END) * (substr(zone, 2, 2)::BIGINT * 60 + substr(zone, 5, 2)::BIGINT) * 60000000 END AS due FROM z),
+l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY snapshot_date, resource_id ORDER BY extraction_timestamp DESC) AS n FROM t) WHERE n = 1),
+d AS (SELECT snapshot_date, lag(snapshot_date) OVER (ORDER BY snapshot_date) AS before FROM (SELECT DISTINCT snapshot_date FROM c)),
+n AS (SELECT l.*, d.before FROM l JOIN d USING (snapshot_date) WHERE d.before IS NOT NULL), o AS (SELECT l.*, d.snapshot_date AS later FROM l JOIN d ON l.snapshot_date = d.before)
+SELECT coalesce(n.snapshot_date, o.later) AS snapshot_date, coalesce(n.resource_id, o.resource_id) AS resource_id,
+  CASE WHEN o.resource_id IS NULL THEN 'added' WHEN n.resource_id IS NULL THEN 'removed' ELSE 'changed' END AS change_kind
+FROM n FULL JOIN o ON n.snapshot_date = o.later AND n.resource_id = o.resource_id
+WHERE o.resource_id IS NULL OR n.resource_id IS NULL OR n.title <> o.title OR n.kind <> o.kind OR n.status <> o.status OR n.descr <> o.descr OR n.due IS DISTINCT FROM o.due
+"""
+
+
 def oracle_sql() -> dict:
-    return {}
+    return {"p2_found": _P2_SQL}
