@@ -122,18 +122,18 @@ def split_documents(
     of the content breaks ties, so nothing depends on the order of rows; rows alike in both still give pieces each).
     """
     shape = dict(df.dtypes)
-    names = [f"k{i}" for i in range(len(keys))]
+    names = [f"__key{i}" for i in range(len(keys))]
     plain = shape[content] == "string"
     rows = df.where(F.col(content).isNotNull())
     if not plain:
         rows = rows.where(reduce(or_, [F.col(content)[a].isNotNull() for a in df.schema[content].dataType.fieldNames()]))
     if version:
-        same = [F.col(k).alias(n) for k, n in zip(keys, names)] + [F.col(version).alias("v"), F.xxhash64(content).alias("h")]
+        same = [F.col(k).alias(n) for k, n in zip(keys, names)] + [F.col(version).alias("__v"), F.xxhash64(content).alias("__h")]
         # only keys and digests are shuffled; of rows alike in both one is as good as another
-        newest = rows.select(*same).groupBy(*names).agg(F.max(F.struct("v", "h")).alias("best")).select(*names, "best.v", "best.h")
-        match = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)] + [F.col(version).eqNullSafe(F.col("v")), F.xxhash64(content) == F.col("h")]
+        newest = rows.select(*same).groupBy(*names).agg(F.max(F.struct("__v", "__h")).alias("__best")).select(*names, "__best.__v", "__best.__h")
+        match = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)] + [F.col(version).eqNullSafe(F.col("__v")), F.xxhash64(content) == F.col("__h")]
         rows = rows.join(newest, reduce(and_, match), "left_semi")
-    rows = spread(rows.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(content).alias("c")))
+    rows = spread(rows.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(content).alias("__text")))
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:

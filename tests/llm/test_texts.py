@@ -36,7 +36,7 @@ def test_split_documents(spark):
     assert sum(r["k0"] is None for r in got) == 1 and sum(r["k0"] == "l" for r in got) == 8 and not any(r["k0"] in ("e", "n") for r in got)
     latest = pieces.split_documents(df, ["k0"], "h", 30, 0, version="v")
     assert {(r["piece_no"], r["n_pieces"]) for r in latest.where("start_at = 0").collect() if r[0] == "k"} == {(1, 1)}
-    assert pieces.split_documents(df.limit(0), ["piece"], "h").count() == 0
+    assert pieces.split_documents(df.limit(0), ["k0"], "h").count() == 0
 
 
 def test_arms(spark):
