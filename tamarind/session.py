@@ -23,11 +23,21 @@ def build(master: str = "local[8]", shuffle_partitions: int = 8) -> SparkSession
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    known_to_workers(spark)
     return spark
 
 
+def known_to_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, whatever their working directory is."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [x for x in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data directory; the schema comes from its footer."""
+    known_to_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
