@@ -139,7 +139,7 @@ def test_count_tokens(spark):
 # --- mojibake -------------------------------------------------------------------------------------------------------------
 
 HONEST = ["«Ã» is a letter; so is “â”.", "Å-scale, naïve Ãvila bay", "SEÇÃO 6: NÃO será aceita caução", "Жуков & Söhne, № 7.", "© São Pedro £5 – Â-class, “AÇÃO”.", "Ângela’s Ø90 mm valve, ±2 %.", "l’été à Paris", "合同金额为US$3。", "", "plain"]
-WRONG = [("La sociedad rechazó la oferta más baja.", "cp1252", "utf-8"), ("Bidders’ questions will be answered – later.", "mac_roman", "utf-8"), ("el máximo según presupuesto", "cp437", "utf-8"), ("La comisión rechazó", "cp1251", "utf-8")]
+WRONG = [("La sociedad rechazó la oferta más baja.", "cp1252", "utf-8"), ("Bidders’ questions will be answered – later.", "mac_roman", "utf-8"), ("el máximo según presupuesto", "cp437", "utf-8"), ("La comisión rechazó", "cp1251", "utf-8"), ("NÃO será aceita caução inferior", "mac_roman", "cp1252")]
 
 
 def garble(text, shown, stored):
