@@ -6,7 +6,8 @@ only the items speak of keeps its directions) is run in passes over the document
 ``BUCKETS x RANK`` numbers over its passages, the blocks are added up by column range in a shuffle, and only that one sum
 reaches the driver, whatever the corpus is in size. Every passage of every document is then compared by cosine with every
 passage of the items, which are a stated query set and are taken in blocks of bounded size; what comes near is aligned word
-by word with the whole item, and only exact findings are kept.
+by word with the whole item, and only exact findings are kept. What shares a run of ``SEED`` equal words with an item is
+aligned as well: every finding holds such a run, so none is lost by the cosine.
 
 Documents are scanned, never shuffled; no document's passage leaves its task.
 """
@@ -33,9 +34,11 @@ PASSAGE = 20
 STRIDE = 5
 ITEM_STRIDE = 5
 MIN_COSINE = 0.75
-#: A passage is compared with an item's passages only if it is this near to the item as a whole, of which it would be a part.
-MIN_COARSE = 0.3
 MIN_WORDS = 20
+#: L words of an item with at most L/10 differences hold a run of (L - L/10)/(L/10 + 1) equal words or more: 6 where L is 20.
+SEED = 6
+#: Passages of the items compared at once.
+PASSAGE_BLOCK = 8_192
 #: Items compared at once: bounds what a task holds of the query set.
 ITEM_BLOCK = 1_000
 _PIECES = 8
@@ -74,6 +77,14 @@ def _project(cols: np.ndarray, spans: list[tuple[int, int]], basis: np.ndarray)
     return total[b] - total[a]
 
 
+def _runs(cols: np.ndarray) -> np.ndarray:
+    """A number for each run of ``SEED`` words; equal runs have equal numbers."""
+    out = np.zeros(max(0, len(cols) - SEED + 1), np.uint64)
+    for j in range(SEED if len(out) else 0):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + cols[j : j + len(out)].astype(np.uint64) + np.uint64(1)
+    return out
+
+
 def _add_rows(into: np.ndarray, cols: np.ndarray, rows: np.ndarray) -> None:
     order = np.argsort(cols, kind="stable")
     sorted_cols = cols[order]
@@ -256,18 +267,19 @@ def find_leaks(
         columns = [_columns(w) for _, w in texts]
         idf = np.log((n + 2.0) / (df + 1.0)).astype(np.float32) + np.float32(0.01)
         basis = latent_basis(corpus.select("t"), columns, idf) * idf[:, None]
-        vectors, owner, whole = [], [], []
+        vectors, owner = [], []
         for q, cols in enumerate(columns):
             v = _project(cols, _windows(len(cols), PASSAGE, ITEM_STRIDE), basis)
             vectors.append(v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9))
             owner.append(np.full(len(v), q))
-            centre = _project(cols, [(0, len(cols))], basis)[0]
-            whole.append(centre / max(float(np.linalg.norm(centre)), 1e-9))
-        shared = spark.sparkContext.broadcast((texts, np.concatenate(vectors), np.concatenate(owner), np.stack(whole), basis))
+        runs = [np.unique(_runs(cols)) for cols in columns]
+        run_owner = np.repeat(np.arange(len(runs)), [len(r) for r in runs])
+        order = np.argsort(np.concatenate(runs), kind="stable")
+        seeds = (np.concatenate(runs)[order], run_owner[order])
+        shared = spark.sparkContext.broadcast((texts, np.concatenate(vectors), np.concatenate(owner), seeds, basis))
 
         def search(it: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            known, vectors, owner, whole, basis = shared.value
-            starts = np.r_[np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]), len(owner)]
+            known, vectors, owner, (seed, seed_owner), basis = shared.value
             for pdf in it:
                 out = []
                 for key, text in zip(pdf["k"], pdf["t"]):
@@ -277,6 +289,10 @@ def find_leaks(
                     if not spans:
                         continue
                     near = np.zeros(len(known), bool)
+                    own = np.unique(_runs(cols))
+                    first, last = np.searchsorted(seed, own), np.searchsorted(seed, own, "right")
+                    for x, y in zip(first[first < last], last[first < last]):
+                        near[seed_owner[x:y]] = True
                     for at in range(0, len(spans), 512):
                         # positions of a block of passages, so that long texts need no more memory than short ones
                         part = spans[at : at + 512]
@@ -284,10 +300,9 @@ def find_leaks(
                         local = cols[low : part[-1][1]]
                         v = _project(local, [(a - low, b - low) for a, b in part], basis)
                         v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
-                        coarse = v @ whole.T >= MIN_COARSE
-                        for q in np.flatnonzero(coarse.any(axis=0) & ~near):
-                            own = vectors[starts[q] : starts[q + 1]]
-                            near[q] = (v[coarse[:, q]] @ own.T).max() >= min_cosine
+                        for b in range(0, len(vectors), PASSAGE_BLOCK):
+                            best = (v @ vectors[b : b + PASSAGE_BLOCK].T).max(axis=0)
+                            near[owner[b : b + PASSAGE_BLOCK][best >= min_cosine]] = True
                     for q in np.flatnonzero(near):
                         if repeats(known[q][1], doc):
                             out.append((known[q][0], key))

@@ -106,6 +106,20 @@ def test_find_leaks(spark):
     assert leaks.find_leaks(d, i.limit(0), "k", "t", "item", "t").count() == 0
 
 
+def test_least_leaks_of_long_items(spark):
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    item = [word() for _ in range(500)]
+    rows = [(-1 - i, " ".join(word() for _ in range(80))) for i in range(20)]
+    for at in range(len(item) - 20 + 1):
+        altered = ((6, 13), (1, 18), (5, 12))[at % 3]
+        part = [word() if n in altered else w for n, w in enumerate(item[at : at + 20])]
+        rows.append((at, " ".join([word() for _ in range(40 + at % 5)] + part + [word() for _ in range(40)])))
+    docs, items = spark.createDataFrame(rows, "k long, t string"), spark.createDataFrame([(1, " ".join(item))], "item long, t string")
+    got = sorted(r["k"] for r in leaks.find_leaks(docs, items, "k", "t", "item", "t").collect())
+    assert got == list(range(len(item) - 20 + 1))
+
+
 # --- mixing -------------------------------------------------------------------------------------------------------------
 
 
