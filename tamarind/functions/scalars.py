@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -138,3 +141,24 @@ def distinct_ignoring_case(parts: Column) -> Column:
     return F.aggregate(
         parts, start, lambda acc, x: F.when(x.isNull() | F.exists(acc, lambda y: F.lower(y) == F.lower(x)), acc).otherwise(F.concat(acc, F.array(x)))
     )
+
+
+def document_text(content: Column) -> Column:
+    """The text of an extracted document from all its arms; null where no arm is filled.
+
+    Chunks, then pages, each with its tables (a line a row, cells between bars), trimmed and without empty ones; markdown if
+    those gave nothing; the slides' texts and the raw text as they are. One blank line between parts.
+    """
+    ends = "[\\s\\x1c-\\x1f\\x85\\p{Z}]+"
+    strip = lambda c: F.regexp_replace(c, f"^{ends}|{ends}$", "")
+    kept = lambda parts: F.filter(F.transform(parts, strip), lambda x: x != "")
+    none = F.array().cast("array<string>")
+    each = lambda arm, f: F.coalesce(F.flatten(F.transform(F.filter(content[arm], lambda x: x.isNotNull()), f)), none)
+    line = lambda row: F.coalesce(F.array_join(kept(row), " | "), F.lit(""))
+    lines = lambda rows: F.array_join(F.filter(F.transform(rows, line), lambda x: x != ""), "\n")
+    tables = lambda p: F.coalesce(F.transform(p["tables"], lines), none)
+    first = F.concat(kept(each("chunks", lambda c: F.array(c["text"]))), kept(each("pages", lambda p: F.concat(F.array(p["text"]), tables(p)))))
+    markdown = F.when(F.size(first) == 0, F.array(content["markdown"])).otherwise(none)
+    parts = F.concat(first, markdown, each("slides", lambda s: F.coalesce(s["texts"], none)), F.array(content["raw_text"]))
+    arms = [content[a].isNotNull() for a in ("markdown", "raw_text", "chunks", "pages", "slides")]
+    return F.when(reduce(or_, arms), F.array_join(parts, "\n\n"))

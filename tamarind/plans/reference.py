@@ -327,7 +327,7 @@ def _(spark, d):
 
 @query("g11_tokens_and_files", "SELECT tender_resource_id, sum(coalesce(length(coalesce(content.markdown, content.raw_text)) // 4, 0))::BIGINT AS tokens, count(DISTINCT regexp_replace(source_file, ' [0-9]+(\\.[^.]+)$', '\\1')) AS files FROM extracted_documents GROUP BY 1")
 def _(spark, d):
-    f = table(spark, d, "extracted_documents").select("tender_resource_id", "source_file", F.coalesce("content.markdown", "content.raw_text").alias("t"))
+    f = table(spark, d, "extracted_documents").select("tender_resource_id", "source_file", S.document_text(F.col("content")).alias("t"))
     return f.groupBy("tender_resource_id").agg(
         F.sum(S.estimated_tokens(F.col("t"), 4)).cast("bigint").alias("tokens"), F.countDistinct(F.regexp_replace("source_file", r" [0-9]+(\.[^.]+)$", "$1")).alias("files")
     )
@@ -633,7 +633,7 @@ def _(spark, d):
     arm = F.lit("none")
     for a in ("slides", "pages", "chunks", "raw_text", "markdown"):
         arm = F.when(F.col(f"content.{a}").isNotNull(), a).otherwise(arm)
-    return table(spark, d, "extracted_documents").select("tender_resource_id", "source_file", F.length(F.coalesce("content.markdown", "content.raw_text")).alias("n"), arm.alias("arm"))
+    return table(spark, d, "extracted_documents").select("tender_resource_id", "source_file", F.length(S.document_text(F.col("content"))).alias("n"), arm.alias("arm"))
 
 
 @query("h28_base64url", "SELECT doc_id, substr(source, 1, 40) AS back FROM documents")

@@ -104,3 +104,40 @@ def test_sinks_and_stream(spark, tmp_path):
         stream = ingest.new_records(spark, landed, "k string, t timestamp", "k", "t")
         ingest.append_available(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
     assert sorted(r["k"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b"]
+
+
+def whole_text(c):
+    """All arms of a document, one after the other; None where no arm is filled."""
+    if c is None or all(v is None for v in c):
+        return None
+    there = lambda x: [v for v in x or [] if v is not None]
+    parts = [k["text"] or "" for k in there(c["chunks"])]
+    for page in there(c["pages"]):
+        parts.append(page["text"] or "")
+        for rows in there(page["tables"]):
+            lines = [" | ".join(x.strip() for x in there(row) if x.strip()) for row in there(rows)]
+            parts.append("\n".join(x for x in lines if x))
+    parts = [p.strip() for p in parts if p.strip()] or there([c["markdown"]])
+    return "\n\n".join(parts + [t for slide in there(c["slides"]) for t in there(slide["texts"])] + there([c["raw_text"]]))
+
+
+def test_text_of_all_arms(spark, duck):
+    files = spark.read.parquet(f"{DATA}/extracted_documents.parquet").select("tender_resource_id", "source_file", "content")
+    mixed = ("m", " r ", [("\u00a0x ", None), None, (None, None)], [("p", [[["1 ", None, "2"], None, [" "]], None]), ("", None)], [(1, ["s", None]), (2, None)])
+    made = spark.createDataFrame([("a", "f", mixed), ("b", "f", None), ("c", "f", (None,) * 5), ("d", "f", (" m ", None, [], None, None))], files.schema)
+    rows = files.unionByName(made).withColumn("got", S.document_text(F.col("content"))).collect()
+    assert {r["tender_resource_id"]: r["got"] for r in rows if r["source_file"] == "f"} == {"a": "x\n\np\n\n1 | 2\n\ns\n\n r ", "b": None, "c": None, "d": " m "}
+    assert [r["got"] for r in rows] == [whole_text(r["content"]) for r in rows]
+    assert {"chunks", "pages", "slides"} <= {a for r in files.collect() if r["content"] for a, v in r["content"].asDict().items() if v}
+    want, tokens = [], {}
+    for key, file, content in files.collect():
+        text = whole_text(content)
+        want.append((key, file, None if text is None else len(text)))
+        tokens[key] = tokens.get(key, 0) + len(text or "") // 4
+    got = plans.queries()["h25_text_of_arms"](spark, DATA).select("tender_resource_id", "source_file", "n").collect()
+    assert plain(got) == plain(want)
+    # the SQL reads two of the arms: what it gives must be among this
+    read = duck.execute(f"SELECT tender_resource_id, source_file, n FROM ({plans.oracle_sql()['h25_text_of_arms']}) WHERE n IS NOT NULL").fetchall()
+    assert set(plain(read)) <= set(plain(got))
+    got = plans.queries()["g11_tokens_and_files"](spark, DATA)
+    assert plain(got.select("tender_resource_id", "tokens").collect()) == plain(tokens.items())
