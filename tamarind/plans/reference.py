@@ -11,6 +11,7 @@ from tamarind.functions import scalars as S
 from tamarind.operators import relations as R
 from tamarind.operators import summaries as G
 from tamarind.session import table
+from tamarind.sources import sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -497,7 +498,7 @@ def _(spark, d):
 @query("h29_s2_csv_flatten", "SELECT tender_resource_id, source_file, array_to_string(list_transform(content.chunks, lambda c: c.text[1:20]), ' | ') AS chunks FROM extracted_documents WHERE content.chunks IS NOT NULL")
 def _(spark, d):
     f = table(spark, d, "extracted_documents").where("content.chunks is not null")
-    return f.select("tender_resource_id", "source_file", F.array_join(F.transform("content.chunks", lambda c: F.substring(c["text"], 1, 20)), " | ").alias("chunks"))
+    return sinks.flat_columns(f.select("tender_resource_id", "source_file", F.col("content.chunks.text").alias("chunks")))
 
 
 @query("pj2_listing_projection", "SELECT nullif(trim(regexp_extract(title_url, '[?&]resourceId=([^&#]*)', 1)), '') AS resource_id, CASE WHEN trim(title) <> '' THEN title ELSE 'Untitled' END AS title, TRY_CAST(row_no AS INT) AS row_no, coalesce(status, 'Unknown') AS status FROM tenders_all WHERE nullif(trim(regexp_extract(title_url, '[?&]resourceId=([^&#]*)', 1)), '') IS NOT NULL")

@@ -141,3 +141,10 @@ def test_text_of_all_arms(spark, duck):
     assert set(plain(read)) <= set(plain(got))
     got = plans.queries()["g11_tokens_and_files"](spark, DATA)
     assert plain(got.select("tender_resource_id", "tokens").collect()) == plain(tokens.items())
+
+
+def test_flattened_chunks_are_whole(spark):
+    rows = spark.read.parquet(f"{DATA}/extracted_documents.parquet").where("content.chunks is not null").select("tender_resource_id", "source_file", "content.chunks").collect()
+    want = [(r[0], r[1], " | ".join(c["text"] for c in r["chunks"] if c["text"] is not None)) for r in rows]
+    got = plans.queries()["h29_s2_csv_flatten"](spark, DATA).select("tender_resource_id", "source_file", "chunks").collect()
+    assert max(len(r["chunks"]) for r in got) > 200 and plain(got) == plain(want)
