@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tamarind.functions import scalars as S
@@ -270,9 +270,13 @@ def _(spark, d):
 @query("d9_b27_changed_fields", "WITH s AS (SELECT snapshot_date, resource_id, max(coalesce(title, '')) AS title, max(coalesce(status, '')) AS status, max(coalesce(procuring_entity, '')) AS procuring_entity FROM tender_snapshots GROUP BY ALL) SELECT n.resource_id, array_to_string(list_filter([CASE WHEN n.title <> o.title THEN 'title' END, CASE WHEN n.status <> o.status THEN 'status' END, CASE WHEN n.procuring_entity <> o.procuring_entity THEN 'procuring_entity' END], lambda x: x IS NOT NULL), ',') AS changed FROM s n JOIN s o ON n.resource_id = o.resource_id AND n.snapshot_date = '2026-01-19' AND o.snapshot_date = '2026-01-12' WHERE n.title <> o.title OR n.status <> o.status OR n.procuring_entity <> o.procuring_entity")
 def _(spark, d):
     fields = ["title", "status", "procuring_entity"]
-    side = lambda day: table(spark, d, "tender_snapshots").where(F.col("snapshot_date") == day).groupBy("resource_id").agg(*[F.max(F.coalesce(f, F.lit(""))).alias(f) for f in fields])
-    both = side("2026-01-12").alias("o").join(side("2026-01-19").alias("n"), "resource_id")
-    return both.select("resource_id", F.array_join(R.changed_fields("o", "n", fields), ",").alias("changed")).where("changed <> ''")
+    s = table(spark, d, "tender_snapshots").where("snapshot_date is not null")
+    now = s.groupBy("snapshot_date", "resource_id").agg(*[F.max(F.coalesce(f, F.lit(""))).alias(f) for f in fields])
+    # one row a snapshot; the window runs over that many rows only
+    dates = s.select("snapshot_date").distinct().select("snapshot_date", F.lead("snapshot_date").over(Window.orderBy("snapshot_date")).alias("after"))
+    before = now.join(F.broadcast(dates.where("after is not null")), "snapshot_date").drop("snapshot_date").withColumnRenamed("after", "snapshot_date")
+    both = before.alias("o").join(now.alias("n"), ["snapshot_date", "resource_id"])
+    return both.select("snapshot_date", "resource_id", F.array_join(R.changed_fields("o", "n", fields), ",").alias("changed")).where("changed <> ''")
 
 
 # --- aggregations ---------------------------------------------------------------------------------------------------------------

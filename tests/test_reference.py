@@ -148,3 +148,21 @@ def test_flattened_chunks_are_whole(spark):
     want = [(r[0], r[1], " | ".join(c["text"] for c in r["chunks"] if c["text"] is not None)) for r in rows]
     got = plans.queries()["h29_s2_csv_flatten"](spark, DATA).select("tender_resource_id", "source_file", "chunks").collect()
     assert max(len(r["chunks"]) for r in got) > 200 and plain(got) == plain(want)
+
+
+def test_changed_fields_of_every_snapshot(spark, duck):
+    fields = ["title", "status", "procuring_entity"]
+    by = {}
+    for r in spark.read.parquet(f"{DATA}/tender_snapshots.parquet").select("snapshot_date", "resource_id", *fields).collect():
+        own = by.setdefault(r[0], {}).setdefault(r[1], [""] * 3)
+        by[r[0]][r[1]] = [max(a, b or "") for a, b in zip(own, r[2:])]
+    want = []
+    for old, new in zip(sorted(by), sorted(by)[1:]):
+        for key in by[old].keys() & by[new].keys() - {None}:
+            changed = ",".join(f for f, a, b in zip(fields, by[old][key], by[new][key]) if a != b)
+            want += [(new, key, changed)] if changed else []
+    got = plans.queries()["d9_b27_changed_fields"](spark, DATA).select("snapshot_date", "resource_id", "changed").collect()
+    assert len({r["snapshot_date"] for r in got}) > 1 and plain(got) == plain(want)
+    # the SQL compares one pair of snapshots
+    one = duck.execute(f"SELECT resource_id, changed FROM ({plans.oracle_sql()['d9_b27_changed_fields']})").fetchall()
+    assert plain(one) == plain(r[1:] for r in got if r["snapshot_date"] == "2026-01-19")
