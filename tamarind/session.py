@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -28,11 +30,18 @@ def build(master: str = "local[8]", shuffle_partitions: int = 8) -> SparkSession
 
 
 def known_to_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it, whatever their working directory is."""
+    """Let Python workers import this package, whatever their host and working directory are.
+
+    On one machine, local clusters included, the workers get the driver's path; to others the package is shipped, once.
+    """
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    paths = [x for x in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if x]
+    context = spark.sparkContext
+    paths = [x for x in context.environment.get("PYTHONPATH", "").split(os.pathsep) if x]
     if root not in paths:
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+        context.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+        if not context.master.startswith("local"):
+            made = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="tamarind-package-"), "tamarind"), "zip", root, "tamarind")
+            context.addPyFile(made)  # copied by Spark to every executor; the driver's copy is not read by them
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,46 +50,70 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and go on from there.
-
-    The folder is the cluster's ``spark.checkpoint.dir``. Only where that is unset, as in tests on one machine, a
-    temporary folder is taken. The files are shared by all executors, so a lost executor costs nothing.
-    """
-    spark = df.sparkSession
+def _folder(spark: SparkSession) -> str:
+    """The checkpoint folder: the cluster's ``spark.checkpoint.dir``; on one machine, where that is unset, one of its own."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         named = context.getConf().get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: intermediate tables need a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tamarind-checkpoint-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the reliable checkpoint folder and go on from there; its files are shared, so a lost executor costs nothing."""
+    _folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def cut_table(df: DataFrame) -> DataFrame:
     """Like :func:`cut`, as a Parquet table in the same folder: smaller on disk, read by column; row order is not kept."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    folder = context._jsc.sc().getCheckpointDir()
-    if folder.isEmpty():
-        named = context.getConf().get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tamarind-checkpoint-"))
-        folder = context._jsc.sc().getCheckpointDir()
-    path = f"{folder.get()}/table-{uuid.uuid4().hex}"
+    path = f"{_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._tamarind_path = path
+    return out
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete the files of a :func:`cut_table` that nothing reads any more."""
+    jvm, path = df.sparkSession._jvm, df._tamarind_path
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of plans that are done, which it does when the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a CPU-bound Python stage enough tasks where the scan made fewer than there are cores.
+    """Give a CPU-bound Python stage enough tasks where the scan would make fewer than there are cores.
 
-    A scan of a large table has more splits than cores and is left alone, so nothing is shuffled at scale.
+    The scan's tasks are estimated from the size of the files and the scan's own settings, so nothing is run to find out. A
+    large table has more splits than cores and is left alone, so nothing is shuffled at scale.
     """
-    context = df.sparkSession.sparkContext
-    wanted = 2 * context.defaultParallelism
-    if df.rdd.getNumPartitions() >= wanted:
+    spark = df.sparkSession
+    wanted = 2 * spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= wanted or _scan_tasks(df) >= wanted:
         return df
     return df.repartition(wanted, *keys)
 
 
+def _scan_tasks(df: DataFrame) -> int:
+    """How many splits the files of a scan make, at least."""
+    spark = df.sparkSession
+    most = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+    total = 0
+    for name in df.inputFiles():
+        at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        total += at.getFileSystem(hadoop).getFileStatus(at).getLen()
+    return int(total // most)
+
+
 def small_enough(df: DataFrame, most_rows: int) -> bool:
     """Whether ``df`` has at most ``most_rows`` rows; reads no further than that."""
     return df.limit(most_rows + 1).count() <= most_rows
