@@ -41,27 +41,33 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.where("n_pieces > 1").select("tender_resource_id", "source_file").distinct()
 
 
-def p7_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each award notice's tender, with the confidence."""
+def p7_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Tenders and award notices as :func:`match_records` takes them."""
 
     def latest(df: DataFrame, *fields: str) -> DataFrame:
         row = F.max(F.struct("extraction_timestamp", "id", *fields)).alias("r")
         return df.where("resource_id is not null").groupBy("resource_id").agg(row).select("resource_id", *[F.col(f"r.{f}").alias(f) for f in fields])
 
-    tenders = latest(
-        table(spark, sf_dir, "tenders_all"), "title", "procuring_entity", "project_reference_number", "submission_deadline", "publication_date", "status"
-    ).where(F.lower(F.trim(F.coalesce("status", F.lit("")))) != "cancelled")
+    tenders = latest(table(spark, sf_dir, "tenders_all"), "title", "procuring_entity", "project_reference_number", "submission_deadline", "publication_date", "status")
     notices = latest(table(spark, sf_dir, "award_details_all").where("title is not null"), "title", "official_name", "tender_reference_number", "contract_award_date_raw")
+    day = lambda micros: F.floor(micros / 86_400_000_000).cast("int")
+    tenders = tenders.withColumn("closes", day(instant(F.col("submission_deadline"))))
+    # a tender is dated by its deadline, else by its publication, which is parsed only then
+    tenders = tenders.withColumn("day", F.coalesce("closes", day(instant(F.when(F.col("closes").isNull(), F.col("publication_date"))))))
     left = tenders.select(
         F.col("resource_id").alias("id"), "title", F.col("procuring_entity").alias("entity"), F.col("project_reference_number").alias("reference"),
-        instant(F.col("submission_deadline")).alias("opened"), instant(F.col("publication_date")).alias("published"),
+        "day", F.col("closes").isNull().cast("int").alias("basis"), F.col("status").alias("trait"),
     )
-    when = instant(F.col("contract_award_date_raw"))
     right = notices.select(
         F.col("resource_id").alias("id"), "title", F.col("official_name").alias("entity"), F.col("tender_reference_number").alias("reference"),
-        when.alias("opened"), when.alias("published"),
+        day(instant(F.col("contract_award_date_raw"))).alias("day"),
     )
-    return match_records(left, right).select(F.col("left_id").alias("tender_resource_id"), F.col("right_id").alias("award_resource_id"), "confidence")
+    return left, right
+
+
+def p7_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each award notice's tender, with the confidence."""
+    return match_records(*p7_sides(spark, sf_dir)).select(F.col("left_id").alias("tender_resource_id"), F.col("right_id").alias("award_resource_id"), "confidence")
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
