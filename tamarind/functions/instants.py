@@ -158,3 +158,16 @@ def _bare(s: Column, local: str, first_year: int, last_year: int) -> list[Column
 def instant(raw: Column, **kinds: object) -> Column:
     """Micros of the first reading, null where there is none: for sources whose notation leaves one reading a value."""
     return F.try_element_at(readings(raw, **kinds), F.lit(1))["micros"]  # type: ignore[arg-type]
+
+
+def day_of(raw: Column) -> Column:
+    """Days since 1970 of a raw timestamp, as it is written: of the date alone where the text begins with an ISO or a slashed date,
+    which most do, else of the first reading. Zones may move it by a day."""
+
+    def date(pattern: str, year: int, month: int, day: int) -> Column:
+        part = lambda i: F.regexp_extract(raw, pattern, i).try_cast("int")
+        return F.unix_date(F.try_make_timestamp(part(year), part(month), part(day), F.lit(0), F.lit(0), F.lit(0).cast("decimal(8,6)"), F.lit("UTC")).cast("date"))
+
+    slashed, iso = r"^(\d{1,2})/(\d{1,2})/(\d{4})\b", r"^(\d{4})-(\d{2})-(\d{2})(?:\D|$)"
+    other = F.floor(instant(raw) / 86_400_000_000).cast("int")
+    return F.when(raw.rlike(slashed), date(slashed, 3, 2, 1)).when(raw.rlike(iso), date(iso, 1, 2, 3)).otherwise(other)

@@ -17,8 +17,9 @@ def blank_to_null(c: Column) -> Column:
 
 
 def url_parameter(url: Column, name: str = "resourceId") -> Column:
-    """A parameter of a URL's query, trimmed; null where it is missing or blank."""
-    return F.nullif(F.trim(F.regexp_extract(url, f"[?&]{name}=([^&#]*)", 1)), F.lit(""))
+    """A parameter of a URL's query, percent signs decoded, trimmed; null where it is missing or blank, as it is if it can't be decoded."""
+    raw = F.regexp_extract(url, f"[?&]{name}=([^&#]*)", 1)
+    return F.nullif(F.trim(F.coalesce(F.try_url_decode(raw), raw)), F.lit(""))
 
 
 def absolute_url(url: Column, host: str) -> Column:
@@ -136,11 +137,84 @@ def distinct_parts(parts: Column) -> Column:
 
 
 def distinct_ignoring_case(parts: Column) -> Column:
-    """Distinct elements ignoring case, the first spelling kept, in their order."""
-    start = F.array().cast("array<string>")
-    return F.aggregate(
-        parts, start, lambda acc, x: F.when(x.isNull() | F.exists(acc, lambda y: F.lower(y) == F.lower(x)), acc).otherwise(F.concat(acc, F.array(x)))
-    )
+    """Distinct elements ignoring case, the first spelling kept, in their order; nulls go. Sorted once by key, never compared in pairs."""
+    keyed = F.transform(parts, lambda x, i: F.struct(F.lower(x).alias("k"), i.alias("i"), x.alias("x")))
+    ordered = F.array_sort(F.filter(keyed, lambda s: s["x"].isNotNull()))
+    first = F.filter(F.transform(ordered, lambda s, i: F.struct(s["i"].alias("i"), s["x"].alias("x"), (F.coalesce(F.get(ordered, i - 1)["k"], F.lit(None)).eqNullSafe(s["k"]) & (i > 0)).alias("again"))), lambda s: ~s["again"])
+    return F.transform(F.array_sort(F.transform(first, lambda s: F.struct(s["i"].alias("i"), s["x"].alias("x")))), lambda s: s["x"])
+
+
+# How answers that say nothing begin.
+NOISE = [
+    "not stated", "not specified", "not explicitly stated", "not explicitly stated in the provided", "no specific", "n/a", "none",
+    "not provided", "not mentioned", "not applicable", "not detailed", "not listed",
+]
+
+
+def told_items(parts: Column, most: int = 40) -> Column:
+    """Trimmed items that say something, distinct ignoring case, the first ``most``; null and empty items go."""
+    kept = F.filter(parts, lambda x: x.isNotNull() & (x != ""))
+    noise = "^(" + "|".join(NOISE) + ")"
+    return F.slice(distinct_ignoring_case(F.filter(F.transform(kept, lambda x: F.trim(x)), lambda x: ~F.lower(x).rlike(noise))), 1, most)
+
+
+def milestones(rows: Column) -> Column:
+    """Distinct (event, date) structs in their order, events trimmed; those without an event go."""
+    trimmed = F.transform(F.coalesce(rows, F.array().cast("array<struct<event:string,date:string>>")), lambda r: F.struct(F.trim(r["event"]).alias("event"), r["date"].alias("date")))
+    return F.array_distinct(F.filter(trimmed, lambda r: F.coalesce(r["event"], F.lit("")) != ""))
+
+
+_ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?$"
+
+
+def iso_instant(text: Column) -> Column:
+    """An ISO date or date and time as an instant, without an offset in UTC; null for all other text."""
+    zoned = F.when(text.rlike("(Z|[+-]\\d{2}:\\d{2})$") & (F.length(text) > 10), text).otherwise(F.concat(text, F.when(F.length(text) == 10, F.lit("T00:00:00Z")).otherwise(F.lit("Z"))))
+    return F.when(text.rlike(_ISO), zoned.try_cast("timestamp"))
+
+
+def award_instant(text: Column) -> Column:
+    """``struct<value, raw>``: a day-first date and time within a text as ISO in UTC, else the text itself; white space is one blank."""
+    raw = F.nullif(F.trim(F.regexp_replace(text, _SPACE, " ")), F.lit(""))
+    at = F.try_to_timestamp(F.regexp_extract(raw, r"(\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2})", 1), F.lit("dd/MM/yyyy HH:mm:ss"))
+    return F.struct(F.coalesce(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'+00:00'"), raw).alias("value"), raw.alias("raw"))
+
+
+def to_array(text: Column) -> Column:
+    """A list of what a field holds: the trimmed text alone, nothing for null and blank."""
+    return F.when(F.coalesce(F.trim(text), F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.array(F.trim(text)))
+
+
+def action_url(body: Column, fragments: list[tuple[str, str]]) -> Column:
+    """``struct<url, kind>``: the first URL of a text without a full stop at its end, and the kind of the first fragment in it."""
+    url = F.nullif(F.regexp_replace(F.regexp_extract(body, r"(https?://[^\s<>\"')]+)", 1), r"\.+$", ""), F.lit(""))
+    kind = F.lit(None).cast("string")
+    for part, label in reversed(fragments):
+        kind = F.when(url.contains(part), F.lit(label)).otherwise(kind)
+    return F.struct(url.alias("url"), kind.alias("kind"))
+
+
+def titled(field: str) -> str:
+    return field.replace("_", " ").title()
+
+
+def context_block(scalars: list[str], lists: list[str]) -> Column:
+    """A record as text: filled scalars as 'Name: value' lines, then each filled list under its name in capitals, numbered."""
+    lines = [F.when(F.coalesce(F.col(f).cast("string"), F.lit("")) != "", F.concat(F.lit(f"{titled(f)}: "), F.col(f).cast("string"))) for f in scalars]
+    blocks = [
+        F.when(F.size(f) > 0, F.concat(F.lit(f"\n{f.replace('_', ' ').upper()}:\n"), F.array_join(F.transform(F.col(f), lambda x, i: F.concat(F.lit("  "), (i + 1).cast("string"), F.lit(". "), x)), "\n")))
+        for f in lists
+    ]
+    return F.concat_ws("\n", *lines, F.lit(""), *blocks)
+
+
+def keyword_rank(name: Column, keywords: list[str], last: list[str], otherwise: int = 100, end: int = 999) -> Column:
+    """The place of the first keyword a name holds, case ignored; ``end`` for names that hold one of ``last`` only, else ``otherwise``."""
+    low = F.lower(name)
+    rank = F.when(reduce(or_, [low.contains(x) for x in last]), F.lit(end)).otherwise(F.lit(otherwise))
+    for i, k in reversed(list(enumerate(keywords))):
+        rank = F.when(low.contains(k), F.lit(i)).otherwise(rank)
+    return rank
 
 
 def document_text(content: Column) -> Column:

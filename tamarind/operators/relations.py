@@ -67,20 +67,53 @@ def overwrite_present(base: DataFrame, patch: DataFrame, keys: list[str]) -> Dat
     return joined.select(*out)
 
 
-def upsert(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """``target`` after inserting ``rows`` or replacing rows of the same key; columns of ``target`` only, missing ones null."""
+def _one_a_key(rows: DataFrame, keys: list[str], order: list[Column] | None) -> DataFrame:
+    """Of rows that share a key the last by ``order``, then by all other columns, so the result does not depend on their order."""
+    return latest(rows, keys, order or [])
+
+
+def upsert(target: DataFrame, rows: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """``target`` after inserting ``rows`` or replacing rows of the same key; columns of ``target`` only, missing ones null.
+
+    Of several ``rows`` for a key the last by ``order`` counts, ties by their other columns.
+    """
     given = [c for c in target.columns if c in rows.columns]
-    new = rows.select(*given).dropDuplicates(keys)
+    new = _one_a_key(rows, keys, order).select(*given)
     aligned = new.select(*[F.col(c) if c in given else F.lit(None).cast(dict(target.dtypes)[c]).alias(c) for c in target.columns])
     return target.join(new.select(*keys), keys, "left_anti").select(*target.columns).unionByName(aligned)
 
 
-def insert_new(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """``target`` with those ``rows`` whose key it lacks; of rows that share a key one is inserted."""
-    fresh = rows.dropDuplicates(keys).join(target.select(*keys).distinct(), keys, "left_anti")
+def insert_new(target: DataFrame, rows: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """``target`` with those ``rows`` whose key it lacks; of rows that share a key the last by ``order`` is inserted."""
+    fresh = _one_a_key(rows, keys, order).join(target.select(*keys).distinct(), keys, "left_anti")
     return target.unionByName(fresh.select(*target.columns))
 
 
+def patch_filled(target: DataFrame, patch: DataFrame, keys: list[str], fields: list[str], order: list[Column] | None = None) -> DataFrame:
+    """``target`` with those ``fields`` set which ``patch`` has a value for; nulls of the patch and keys without one change nothing."""
+    one = _one_a_key(patch.select(*keys, *fields), keys, order).select(*keys, *[F.col(f).alias(f"__{f}") for f in fields])
+    joined = target.join(one, keys, "left")
+    return joined.select(*[F.coalesce(F.col(f"__{c}"), F.col(c)).alias(c) if c in fields else F.col(c) for c in target.columns])
+
+
+def orphans(child: DataFrame, parent: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``child`` whose key ``parent`` lacks: none must be left before both are written."""
+    return child.join(parent.select(*keys).distinct(), keys, "left_anti")
+
+
+def updated_manifest(manifest: DataFrame, extracted: DataFrame, keys: list[str]) -> DataFrame:
+    """The manifest after files were extracted: their entries replaced, the entries of all others as they were."""
+    return upsert(manifest, extracted, keys)
+
+
+def extraction_plan(manifest: DataFrame, landed: DataFrame, keys: list[str], compared: list[str], extensions: dict[str, str], extension: str) -> DataFrame:
+    """``keys``, ``state`` and ``reader``: landed files that are new or changed against the manifest, with the reader of their
+    extension (null where none is known, so that nothing is dropped silently)."""
+    changed = manifest_changes(manifest.select(*keys, *compared), landed.select(*keys, *compared), keys, compared).where("state <> 'deleted'")
+    reader = F.create_map(*[x for k, v in extensions.items() for x in (F.lit(k), F.lit(v))])
+    return changed.join(landed.select(*keys, extension), keys).select(*keys, "state", reader[F.lower(extension)].alias("reader"))
+
+
 def update_where(df: DataFrame, condition: Column, values: dict[str, Column]) -> DataFrame:
     """``df`` with columns set where the condition holds; unknown counts as not."""
     hit = F.coalesce(condition, F.lit(False))
@@ -150,8 +183,7 @@ def page(df: DataFrame, order: list[Column], number: int, size: int) -> DataFram
 
     The page is a top-k of ``number * size`` rows, which no sort of the table is needed for; the total is a count of its own.
     """
-    names = [f"__o{i}" for i in range(len(order))]
-    top = df.withColumns(dict(zip(names, order))).orderBy(*names).offset((number - 1) * size).limit(size).drop(*names)
+    top = df.orderBy(*order).offset((number - 1) * size).limit(size)
     total = df.agg(F.count("*").alias("total_rows"))
     return top.join(F.broadcast(total)).withColumn("has_next", F.col("total_rows") > number * size)  # one row
 

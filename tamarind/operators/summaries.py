@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+from operator import and_
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,28 +40,42 @@ def ordered_union(value: Column, order: Column) -> Column:
 def next_fit(df: DataFrame, group: list[str], order: str, size: str, limit: int) -> DataFrame:
     """``df`` with ``bin_no`` from 1: items in order go into the current bin while it holds, else open the next.
 
-    An oversized item has a bin of its own. The pass is sequential within a group and groups run in parallel; a group's state
-    is folded over its sorted (order, size) pairs only, and the bins are joined back.
+    An oversized item has a bin of its own. The pass is sequential within a group by its nature; groups are laid in sorted order
+    and streamed, so a group of any size needs the state of one bin. Only group, order and size pass through Python, and the
+    order must be unique within a group, since the bins are joined back by it.
     """
-    pairs = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("bigint").alias("s"))))
-    start = F.struct(F.lit(0).alias("b"), F.lit(0).cast("bigint").alias("used"), F.array().cast(f"array<struct<o:{dict(df.dtypes)[order]},b:int>>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        opens = (acc["b"] == 0) | (acc["used"] + x["s"] > limit)
-        b = F.when(opens, acc["b"] + 1).otherwise(acc["b"])
-        used = F.when(opens, x["s"]).otherwise(acc["used"] + x["s"])
-        return F.struct(b.alias("b"), used.alias("used"), F.concat(acc["out"], F.array(F.struct(x["o"].alias("o"), b.alias("b")))).alias("out"))
-
-    bins = df.groupBy(*group).agg(F.aggregate(pairs, start, step, lambda a: a["out"]).alias("a")).select(*group, F.explode("a").alias("x"))
-    return df.join(bins.select(*group, F.col("x.o").alias(order), F.col("x.b").alias("bin_no")), [*group, order])
+    types = dict(df.dtypes)
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, bin_no, used = None, 0, 0
+        for pdf in it:
+            bins = []
+            for key, n in zip(pdf[group].itertuples(index=False, name=None), pdf["__size"]):
+                key = tuple(None if pd.isna(k) else k for k in key)
+                if key != at:
+                    at, bin_no, used = key, 1, n
+                elif used + n > limit:
+                    bin_no, used = bin_no + 1, n
+                else:
+                    used += n
+                bins.append(bin_no)
+            yield pdf[[*group, order]].assign(bin_no=bins)
+
+    slim = df.select(*group, order, F.coalesce(F.col(size).cast("bigint"), F.lit(0)).alias("__size"))
+    laid = slim.repartition(*group).sortWithinPartitions(*group, order)
+    bins = laid.mapInPandas(run, ", ".join(f"`{c}` {types[c]}" for c in (*group, order)) + ", bin_no int")
+    same = reduce(and_, [F.col(f"d.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*group, order)])
+    return df.alias("d").join(bins.alias("b"), same).select("d.*", "b.bin_no")
 
 
 def split_at_limit(text: Column, limit: int) -> Column:
-    """Parts of at most ``limit`` characters: cut at the last blank line before the limit, else at the last line break, else hard."""
-    # one alternation a part, tried in this order at every position
-    pattern = rf"(?s).{{1,{limit - 1}}}(?=\n\n)|.{{1,{limit - 1}}}(?=\n)|.{{1,{limit}}}"
-    parts = F.regexp_extract_all(text, F.lit(f"(?s)\\s*(.{{1,{limit}}}$|{pattern})"), 1)
-    return F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")
+    """Parts of at most ``limit`` characters: cut at the last blank line that lies wholly below the limit, else at the last line
+    break, else hard. Parts are stripped of white space, text that fits stays as it is; null gives null."""
+    # white space in front of a part goes, but for the first one's, which counts towards the limit as it stands
+    part = rf"(?!\A).{{1,{limit}}}\s*\z|.{{0,{limit - 2}}}(?=\n\n)|.{{0,{limit - 1}}}(?=\n)|.{{1,{limit}}}"
+    parts = F.regexp_extract_all(text, F.lit(rf"(?s)(?:\A|\s*+)({part})"), 1)
+    stripped = F.filter(F.transform(parts, lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != "")
+    return F.when(F.length(text) <= limit, F.array(text)).otherwise(stripped)
 
 
 def carry_forward(value: Column, keys: list[str], order: str) -> Column:

@@ -162,13 +162,15 @@ def normalise_instants(
         F.coalesce(F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in source]), F.lit("")).alias("source"),
         F.struct(*[F.col(c) for c in order], F.col(value).alias("__v")).alias("ord"),
         F.to_json(payload, {"ignoreNullFields": "false"}).alias("payload"),
-        readings(F.col(value), **kinds).alias("options"),  # type: ignore[arg-type]
-    ).where(F.size("options") > 0)
+        F.col(value).alias("raw"),
+    ).where(F.length(F.trim("raw")) > 0)
     count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the values are read once they lie in order: laying them out samples its input, which would read every value twice
     laid = cut(
         base.repartitionByRange(count, "source", "ord")
         .sortWithinPartitions("source", "ord")
-        .select(F.spark_partition_id().alias("seg"), "source", "payload", "options")
+        .select(F.spark_partition_id().alias("seg"), "source", "payload", readings(F.col("raw"), **kinds).alias("options"))  # type: ignore[arg-type]
+        .where(F.size("options") > 0)
     )
     several = not laid.where(F.size("options") > 1).isEmpty()
     fixed = _fix(laid.mapInPandas(_ends, _ENDS).collect()) if several else {}

@@ -1,6 +1,6 @@
 """Named queries and their SQL."""
 
-from tamarind.plans import dealt, reference
+from tamarind.plans import dealt, records, reference  # noqa: F401  (records adds its queries to those of reference)
 
 
 def queries() -> dict:

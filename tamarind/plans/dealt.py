@@ -76,8 +76,19 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("table_name", "id", "field_name", "utc_micros").distinct()
 
 
+def p6_both_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The award dates with the order of day and month left open: the path through each source's records decides it.
+
+    ``day_first`` tells whether the reading chosen is that of the day in front, for values that have both.
+    """
+    parts = [table(spark, sf_dir, t).select(F.lit(t).alias("table_name"), "id", F.lit(f).alias("field_name"), F.col(f).alias("raw")) for t, f in DATED]
+    values = reduce(DataFrame.unionByName, parts)
+    found = normalise_instants(values, "raw", ["table_name", "field_name"], ["id"], ["table_name", "id", "field_name", "raw"], slashed="both")
+    return found.select("table_name", "id", "field_name", "utc_micros", "form", (F.col("utc_micros") == instant(F.col("raw"))).alias("day_first")).distinct()
+
+
 def queries() -> dict:
-    return {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found}
+    return {"p6_both_orders": p6_both_orders, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found}
 
 
 # The deadlines of the snapshots come in two notations, day first and ISO, which this SQL reads on its own.

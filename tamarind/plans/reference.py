@@ -53,14 +53,12 @@ def _(spark, d):
     return _tenders(spark, d).where("title_url is not null and title_url <> ''").groupBy("title_url").agg(F.min("id").alias("first_id"))
 
 
-@query("a17_a20_heading_sections", None)
+@query("a17_a20_heading_sections", r"WITH d AS (SELECT tender_resource_id, source_file, content.markdown AS t FROM extracted_documents WHERE content.markdown IS NOT NULL), l AS (SELECT tender_resource_id, source_file, unnest(string_split(t, chr(10))) AS line FROM d) SELECT tender_resource_id, source_file, length(regexp_extract(line, '^(#{1,6})\s+\S', 1)) AS depth, count(*) AS n FROM l WHERE regexp_matches(line, '^#{1,6}\s+\S') GROUP BY 1, 2, 3".replace("\\\\", "\\"))
 def _(spark, d):
-    """Markdown cut at its second-level headings, each section with the heading that it stands under."""
-    files = table(spark, d, "extracted_documents").where("content.markdown is not null").select("tender_resource_id", "source_file", "extraction_timestamp", F.col("content.markdown").alias("md"))
-    one = R.latest(files, ["tender_resource_id", "source_file"], [F.col("extraction_timestamp")])
-    parts = one.select("tender_resource_id", "source_file", F.posexplode(F.split("md", r"(?m)(?=^## )")).alias("section_no", "section"))
-    head = F.nullif(F.regexp_extract("section", r"(?m)\A## (.*)$", 1), F.lit(""))
-    return parts.withColumn("heading", head).where(F.length(F.trim("section")) > 0)
+    """Headings of each Markdown document by their depth."""
+    docs = table(spark, d, "extracted_documents").where("content.markdown is not null").select("tender_resource_id", "source_file", F.explode(F.split("content.markdown", "\n")).alias("line"))
+    heads = docs.where(F.col("line").rlike(r"^#{1,6}\s+\S")).withColumn("depth", F.length(F.regexp_extract("line", r"^(#{1,6})\s+\S", 1)))
+    return heads.groupBy("tender_resource_id", "source_file", "depth").agg(F.count("*").alias("n"))
 
 
 @query("b1_eq_neq", "SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus <> 'F'")
@@ -122,10 +120,10 @@ def _(spark, d):
     return table(spark, d, "events").where(f"ts is null or ts >= timestamp_ntz '{NOW}' + interval 48 hours").select("event_id")
 
 
-@query("b16_d1_after_high_water_mark", "SELECT event_id FROM events WHERE ts > (SELECT max(ts) FROM events WHERE event_type = 'signup' AND event_id % 2 = 0) - INTERVAL 1 DAY")
+@query("b16_d1_after_high_water_mark", "SELECT event_id FROM events WHERE ts > (SELECT max(ts) FROM events WHERE event_type = 'signup') - INTERVAL 1 DAY")
 def _(spark, d):
     e = table(spark, d, "events")
-    mark = e.where("event_type = 'signup' and event_id % 2 = 0").agg((F.max("ts") - F.expr("interval 1 day")).alias("mark"))
+    mark = e.where("event_type = 'signup'").agg((F.max("ts") - F.expr("interval 1 day")).alias("mark"))
     return e.join(F.broadcast(mark), F.col("ts") > F.col("mark")).select("event_id")  # one row
 
 
@@ -223,12 +221,16 @@ def _(spark, d):
     return R.tiered_lookup(asked, tiers, ["title"]).select("id", "title", "tier")
 
 
-@query("j11_manifest_changes", "WITH o AS (SELECT tender_folder, doc_id, md5(text) AS h, n_chars AS s FROM documents WHERE text IS NOT NULL AND doc_id % 3 <> 0), n AS (SELECT tender_folder, doc_id, md5(CASE WHEN doc_id % 7 = 0 THEN text || '.' ELSE text END) AS h, n_chars AS s FROM documents WHERE text IS NOT NULL AND doc_id % 5 <> 0) SELECT doc_id, CASE WHEN o.doc_id IS NULL THEN 'new' WHEN n.doc_id IS NULL THEN 'deleted' ELSE 'changed' END AS state FROM o FULL JOIN n USING (doc_id) WHERE o.doc_id IS NULL OR n.doc_id IS NULL OR o.h <> n.h OR o.s <> n.s")
+@query("j11_manifest_changes", "WITH s AS (SELECT snapshot_date AS snap, resource_id, max(md5(coalesce(detailed_description, ''))) AS h, max(length(coalesce(title, ''))) AS s FROM tender_snapshots WHERE resource_id IS NOT NULL GROUP BY 1, 2), o AS (SELECT * FROM s WHERE snap = (SELECT min(snap) FROM s)), n AS (SELECT * FROM s WHERE snap = (SELECT max(snap) FROM s)) SELECT resource_id, CASE WHEN o.h IS NULL THEN 'new' WHEN n.h IS NULL THEN 'deleted' ELSE 'changed' END AS state FROM o FULL JOIN n USING (resource_id) WHERE o.h IS NULL OR n.h IS NULL OR o.h <> n.h OR o.s <> n.s")
 def _(spark, d):
-    docs = table(spark, d, "documents").where("text is not null").select("doc_id", "text", F.col("n_chars").alias("s"))
-    old = docs.where("doc_id % 3 <> 0").select("doc_id", F.md5("text").alias("h"), "s")
-    new = docs.where("doc_id % 5 <> 0").select("doc_id", F.md5(F.when(F.col("doc_id") % 7 == 0, F.concat("text", F.lit("."))).otherwise(F.col("text"))).alias("h"), "s")
-    return R.manifest_changes(old, new, ["doc_id"], ["h", "s"])
+    """The first snapshot as the manifest, the last as what has landed."""
+    snaps = table(spark, d, "tender_snapshots").where("resource_id is not null")
+    rows = snaps.groupBy(F.col("snapshot_date").alias("at"), "resource_id").agg(
+        F.max(F.md5(F.coalesce("detailed_description", F.lit("")))).alias("h"), F.max(F.length(F.coalesce("title", F.lit("")))).alias("s")
+    )
+    ends = snaps.agg(F.min("snapshot_date").alias("first"), F.max("snapshot_date").alias("last"))  # one row
+    both = rows.join(F.broadcast(ends), (F.col("at") == F.col("first")) | (F.col("at") == F.col("last")))
+    return R.manifest_changes(both.where("at = first"), both.where("at = last"), ["resource_id"], ["h", "s"])
 
 
 @query("j13_mirror_differences", "SELECT resource_id, 'left' AS side FROM (SELECT DISTINCT resource_id FROM awards_all EXCEPT SELECT DISTINCT resource_id FROM award_details_all) UNION ALL SELECT resource_id, 'right' FROM (SELECT DISTINCT resource_id FROM award_details_all EXCEPT SELECT DISTINCT resource_id FROM awards_all)")
@@ -267,7 +269,7 @@ def _(spark, d):
     return R.update_where(_tenders(spark, d).select("id", "status"), F.col("status") == "Closed", {"status": F.lit("archived")})
 
 
-@query("d9_b27_changed_fields", "WITH s AS (SELECT snapshot_date, resource_id, max(coalesce(title, '')) AS title, max(coalesce(status, '')) AS status, max(coalesce(procuring_entity, '')) AS procuring_entity FROM tender_snapshots GROUP BY ALL) SELECT n.resource_id, array_to_string(list_filter([CASE WHEN n.title <> o.title THEN 'title' END, CASE WHEN n.status <> o.status THEN 'status' END, CASE WHEN n.procuring_entity <> o.procuring_entity THEN 'procuring_entity' END], lambda x: x IS NOT NULL), ',') AS changed FROM s n JOIN s o ON n.resource_id = o.resource_id AND n.snapshot_date = '2026-01-19' AND o.snapshot_date = '2026-01-12' WHERE n.title <> o.title OR n.status <> o.status OR n.procuring_entity <> o.procuring_entity")
+@query("d9_b27_changed_fields", "WITH s AS (SELECT snapshot_date, resource_id, max(coalesce(title, '')) AS title, max(coalesce(status, '')) AS status, max(coalesce(procuring_entity, '')) AS procuring_entity FROM tender_snapshots GROUP BY ALL) SELECT n.snapshot_date, n.resource_id, array_to_string(list_filter([CASE WHEN n.title <> o.title THEN 'title' END, CASE WHEN n.status <> o.status THEN 'status' END, CASE WHEN n.procuring_entity <> o.procuring_entity THEN 'procuring_entity' END], lambda x: x IS NOT NULL), ',') AS changed FROM s n JOIN (SELECT snapshot_date, lag(snapshot_date) OVER (ORDER BY snapshot_date) AS before FROM (SELECT DISTINCT snapshot_date FROM s WHERE snapshot_date IS NOT NULL)) d USING (snapshot_date) JOIN s o ON n.resource_id = o.resource_id AND o.snapshot_date = d.before WHERE n.title <> o.title OR n.status <> o.status OR n.procuring_entity <> o.procuring_entity")
 def _(spark, d):
     fields = ["title", "status", "procuring_entity"]
     s = table(spark, d, "tender_snapshots").where("snapshot_date is not null")
@@ -330,14 +332,6 @@ def _(spark, d):
     return a.groupBy("resource_id").agg(F.array_join(G.ordered_union(F.col("l"), F.col("id")), "|").alias("words"))
 
 
-@query("g11_tokens_and_files", "SELECT tender_resource_id, sum(coalesce(length(coalesce(content.markdown, content.raw_text)) // 4, 0))::BIGINT AS tokens, count(DISTINCT regexp_replace(source_file, ' [0-9]+(\\.[^.]+)$', '\\1')) AS files FROM extracted_documents GROUP BY 1")
-def _(spark, d):
-    f = table(spark, d, "extracted_documents").select("tender_resource_id", "source_file", S.document_text(F.col("content")).alias("t"))
-    return f.groupBy("tender_resource_id").agg(
-        F.sum(S.estimated_tokens(F.col("t"), 4)).cast("bigint").alias("tokens"), F.countDistinct(F.regexp_replace("source_file", r" [0-9]+(\.[^.]+)$", "$1")).alias("files")
-    )
-
-
 @query("g12_grouped_ids", "SELECT c_nationkey, count(*) AS n, array_to_string(list_sort(list(c_custkey)), ',') AS ids FROM customer WHERE c_acctbal < 0 GROUP BY 1")
 def _(spark, d):
     c = table(spark, d, "customer").where("c_acctbal < 0")
@@ -360,13 +354,6 @@ def _(spark, d):
     return R.first_per_group(e, ["user_id", "event_type"], [F.col("ts"), F.col("event_id")]).select("event_id", "user_id", "event_type")
 
 
-@query("w3_split_at_limit", None)
-def _(spark, d):
-    """Every document in parts of at most 400 characters, cut at blank lines and line breaks where there are any."""
-    docs = table(spark, d, "documents").where("text is not null").select("doc_id", "text")
-    return docs.select("doc_id", F.posexplode(G.split_at_limit(F.col("text"), 400)).alias("part_no", "part"))
-
-
 @query("w4_part_labels", "SELECT source_file, tender_resource_id, extension, CASE WHEN count(*) OVER w > 1 THEN '[part ' || row_number() OVER (PARTITION BY tender_resource_id ORDER BY source_file) || '/' || count(*) OVER w || ']' ELSE '' END AS label FROM (SELECT DISTINCT tender_resource_id, source_file, extension FROM extracted_documents) WINDOW w AS (PARTITION BY tender_resource_id)")
 def _(spark, d):
     f = table(spark, d, "extracted_documents").select("tender_resource_id", "source_file", "extension").distinct()
@@ -390,13 +377,6 @@ def _(spark, d):
     return R.page(o, [-F.col("o_totalprice"), F.col("o_orderkey")], 3, 20)
 
 
-@query("o5_keyword_priority", "SELECT source_file, min(CASE WHEN lower(source_file) LIKE '%bidding document%' THEN 1 WHEN lower(source_file) LIKE '%terms of reference%' THEN 2 WHEN lower(source_file) LIKE '%addendum%' THEN 3 ELSE 100 END) AS rank FROM extracted_documents GROUP BY 1")
-def _(spark, d):
-    name = F.lower("source_file")
-    rank = F.when(name.contains("bidding document"), 1).when(name.contains("terms of reference"), 2).when(name.contains("addendum"), 3).otherwise(100)
-    return table(spark, d, "extracted_documents").groupBy("source_file").agg(F.min(rank).alias("rank"))
-
-
 @query("u1_u2_union_distinct", "SELECT resource_id, min(title) AS title FROM (SELECT resource_id, title FROM tenders_all UNION ALL SELECT resource_id, title FROM tender_snapshots) GROUP BY 1")
 def _(spark, d):
     both = _tenders(spark, d).select("resource_id", "title").unionByName(table(spark, d, "tender_snapshots").select("resource_id", "title"))
@@ -499,7 +479,7 @@ def _(spark, d):
     return _tenders(spark, d).select("id", S.first_keyword(F.col("title")).alias("keyword"))
 
 
-@query("h29_s2_csv_flatten", "SELECT tender_resource_id, source_file, array_to_string(list_transform(content.chunks, lambda c: c.text[1:20]), ' | ') AS chunks FROM extracted_documents WHERE content.chunks IS NOT NULL")
+@query("h29_s2_csv_flatten", "SELECT tender_resource_id, source_file, array_to_string(list_transform(content.chunks, lambda c: c.text), ' | ') AS chunks FROM extracted_documents WHERE content.chunks IS NOT NULL")
 def _(spark, d):
     f = table(spark, d, "extracted_documents").where("content.chunks is not null")
     return sinks.flat_columns(f.select("tender_resource_id", "source_file", F.col("content.chunks.text").alias("chunks")))
@@ -568,11 +548,11 @@ def _(spark, d):
     return folders.join(done, "tender_folder", "left_anti")
 
 
-@query("j5_restore_from_mirror", "WITH m AS (SELECT resource_id, min(competition_unique_id) AS uid FROM tender_snapshots GROUP BY 1) SELECT t.id, coalesce(CASE WHEN t.id % 4 = 0 THEN NULL ELSE t.competition_unique_id END, m.uid) AS competition_unique_id FROM tenders_all t LEFT JOIN m ON t.resource_id = m.resource_id")
+@query("j5_restore_from_mirror", "WITH m AS (SELECT resource_id, min(competition_unique_id) AS uid FROM tender_snapshots WHERE trim(competition_unique_id) <> '' GROUP BY 1) SELECT t.id, coalesce(nullif(trim(t.competition_unique_id), ''), m.uid) AS competition_unique_id FROM tenders_all t LEFT JOIN m ON t.resource_id = m.resource_id")
 def _(spark, d):
-    mirror = table(spark, d, "tender_snapshots").groupBy("resource_id").agg(F.min("competition_unique_id").alias("uid"))
-    lost = _tenders(spark, d).select("id", "resource_id", F.when(F.col("id") % 4 != 0, F.col("competition_unique_id")).alias("own"))
-    return lost.join(mirror, "resource_id", "left").select("id", F.coalesce("own", "uid").alias("competition_unique_id"))
+    mirror = table(spark, d, "tender_snapshots").where("trim(competition_unique_id) <> ''").groupBy("resource_id").agg(F.min("competition_unique_id").alias("uid"))
+    own = _tenders(spark, d).select("id", "resource_id", F.nullif(F.trim("competition_unique_id"), F.lit("")).alias("own"))
+    return own.join(mirror, "resource_id", "left").select("id", F.coalesce("own", "uid").alias("competition_unique_id"))
 
 
 @query("j12_changes_by_base_name", "WITH o AS (SELECT DISTINCT source_file AS f FROM extracted_documents WHERE extraction_status = 'completed'), n AS (SELECT DISTINCT regexp_extract('docs/' || source_file, '([^/]*)$', 1) AS f FROM extracted_documents WHERE extension <> '.txt') SELECT f, CASE WHEN o.f IS NULL THEN 'new' ELSE 'deleted' END AS state FROM o FULL JOIN n USING (f) WHERE o.f IS NULL OR n.f IS NULL")
@@ -583,14 +563,6 @@ def _(spark, d):
     return R.manifest_changes(old, new, ["f"], ["x"])
 
 
-@query("j14_j15_best_candidate", "WITH q AS (SELECT resource_id, min(title) AS title FROM award_details_all WHERE title IS NOT NULL GROUP BY 1), t AS (SELECT resource_id AS rid, min(title) AS title FROM tenders_all WHERE title IS NOT NULL GROUP BY 1), m AS (SELECT q.resource_id, min(t.rid) AS rid, count(*) AS n FROM q JOIN t ON lower(q.title) = lower(t.title) GROUP BY 1) SELECT resource_id, rid, n FROM m")
-def _(spark, d):
-    """Candidates by equal titles, case ignored, the least id accepted: an equi-join instead of a pattern scan for each record."""
-    q = table(spark, d, "award_details_all").where("title is not null").groupBy("resource_id").agg(F.lower(F.min("title")).alias("k"))
-    t = _tenders(spark, d).where("title is not null").groupBy(F.col("resource_id").alias("rid")).agg(F.lower(F.min("title")).alias("k"))
-    return q.join(t, "k").groupBy("resource_id").agg(F.min("rid").alias("rid"), F.count("*").alias("n"))
-
-
 @query("pj3_renamed_patch", "SELECT resource_id, title AS name, cpv_codes AS codes, cpv_codes AS codes_raw FROM award_details_all WHERE title IS NOT NULL OR cpv_codes IS NOT NULL")
 def _(spark, d):
     a = table(spark, d, "award_details_all").where("title is not null or cpv_codes is not null")
@@ -633,32 +605,23 @@ def _(spark, d):
     return table(spark, d, "documents").select("doc_id", pick(r"Clause (\d+\.\d+): ([^.]*)\.", 2).alias("duty"), pick(r"before (\d{1,2} [A-Z][a-z]+ \d{4})", 1).alias("before"))
 
 
-@query("h25_text_of_arms", "SELECT tender_resource_id, source_file, length(coalesce(content.markdown, content.raw_text)) AS n, CASE WHEN content.markdown IS NOT NULL THEN 'markdown' WHEN content.raw_text IS NOT NULL THEN 'raw_text' WHEN content.chunks IS NOT NULL THEN 'chunks' WHEN content.pages IS NOT NULL THEN 'pages' WHEN content.slides IS NOT NULL THEN 'slides' ELSE 'none' END AS arm FROM extracted_documents")
-def _(spark, d):
-    arm = F.lit("none")
-    for a in ("slides", "pages", "chunks", "raw_text", "markdown"):
-        arm = F.when(F.col(f"content.{a}").isNotNull(), a).otherwise(arm)
-    return table(spark, d, "extracted_documents").select("tender_resource_id", "source_file", F.length(S.document_text(F.col("content"))).alias("n"), arm.alias("arm"))
-
-
-@query("h28_base64url", "SELECT doc_id, substr(source, 1, 40) AS back FROM documents")
+@query("h28_base64url", "SELECT doc_id, coalesce(source, '') || '/' || coalesce(text, '') AS back FROM documents")
 def _(spark, d):
-    code = F.regexp_replace(F.translate(F.base64(F.encode(F.substring("source", 1, 40), "UTF-8")), "+/", "-_"), "=+$", "")
+    """Whole texts, coded as a mail service codes them and read again."""
+    plain = F.concat(F.coalesce("source", F.lit("")), F.lit("/"), F.coalesce("text", F.lit("")))
+    code = F.regexp_replace(F.translate(F.regexp_replace(F.base64(F.encode(plain, "UTF-8")), "[\r\n]", ""), "+/", "-_"), "=+$", "")
     return table(spark, d, "documents").select("doc_id", S.from_base64url(code).alias("back"))
 
 
 @query("o6_o7_capped_lists", "SELECT c_nationkey, array_to_string(list_sort(list(c_custkey))[1:5], ',') AS first_ids FROM customer GROUP BY 1 ORDER BY 1 LIMIT 10")
 def _(spark, d):
-    c = table(spark, d, "customer").groupBy("c_nationkey").agg(F.array_join(F.slice(F.array_sort(F.collect_list("c_custkey")), 1, 5).cast("array<string>"), ",").alias("first_ids"))
+    """Five a group, by a group limit before anything is gathered."""
+    n = F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey"))
+    five = table(spark, d, "customer").select("c_nationkey", "c_custkey", n.alias("n")).where("n <= 5")
+    c = five.groupBy("c_nationkey").agg(F.array_join(F.array_sort(F.collect_list("c_custkey")).cast("array<string>"), ",").alias("first_ids"))
     return c.orderBy("c_nationkey").limit(10)
 
 
-@query("u5_u6_distinct_ignoring_case", "SELECT lower(procuring_entity) AS entity, min(procuring_entity) AS spelling, count(*) AS n FROM awards_all WHERE trim(procuring_entity) <> '' GROUP BY 1")
-def _(spark, d):
-    a = table(spark, d, "awards_all").where("trim(procuring_entity) <> ''")
-    return a.groupBy(F.lower("procuring_entity").alias("entity")).agg(F.min("procuring_entity").alias("spelling"), F.count("*").alias("n"))
-
-
 @query("d13_skip_done_or_failed", "SELECT tender_resource_id, source_file FROM extracted_documents GROUP BY 1, 2 HAVING count(*) FILTER (extraction_status IN ('completed', 'failed')) = 0")
 def _(spark, d):
     e = table(spark, d, "extracted_documents").select("tender_resource_id", "source_file", "extraction_status")

@@ -9,15 +9,19 @@ from __future__ import annotations
 import email
 import email.policy
 import io
+import re
 import zipfile
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tamarind.functions.scalars import award_instant, blank_to_null, plain_money, snake_key, url_parameter
+
 
 def _objects(rows: DataFrame, array: Column, schema: str) -> DataFrame:
     """The objects of a JSON array's text, typed; items that are no objects are dropped."""
@@ -145,39 +149,210 @@ def grid_fields(pages: DataFrame, key: str, html: str) -> DataFrame:
     return pages.select(key, html).mapInPandas(run, f"k {kind}, label string, values array<string>").withColumnRenamed("k", key)
 
 
+def tender_listing(pages: DataFrame, key: str, html: str, least_cells: int = 10) -> DataFrame:
+    """The rows of a tender listing's tables, typed: a row needs ten cells; blank cells are null, and the id comes from the row's link."""
+    c = F.col("cells")
+    names = ["row_number", "title", "procuring_entity", "description", "bids_submission_deadline", "procurement_type", "procedure", "status", "notice_pdf_url", "publication_date"]
+    link = F.get("links", F.lit(0))
+    fields = [blank_to_null(F.get(c, F.lit(i))).alias(n) for i, n in enumerate(names)]
+    return table_rows(pages, key, html, least_cells).select(key, *fields, link.alias("title_url"), url_parameter(link).alias("resource_id"))
+
+
+def award_listing(pages: DataFrame, key: str, html: str, least_cells: int = 6) -> DataFrame:
+    """The rows of an award listing's tables, typed: number, method, entity, title, amount (raw and as a number), date raw and as ISO."""
+    c = F.col("cells")
+    names = ["row_number", "procurement_method", "procuring_entity", "title", "contract_amount_raw", "award_date_raw"]
+    rows = table_rows(pages, key, html, least_cells).select(key, "links", *[blank_to_null(F.get(c, F.lit(i))).alias(n) for i, n in enumerate(names)])
+    return rows.select(
+        key, *names, plain_money(F.col("contract_amount_raw")).cast("double").alias("contract_amount"), award_instant(F.col("award_date_raw"))["value"].alias("award_date"),
+        F.get("links", F.lit(0)).alias("contract_url"), url_parameter(F.get("links", F.lit(0))).alias("resource_id"), F.get("links", F.lit(1)).alias("pdf_url"),
+        url_parameter(F.get("links", F.lit(1))).alias("pdf_resource_id"),
+    )
+
+
+def field_map(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """``key``, ``fields``: a page's definition list as a map from snake-case keys to values; of equal keys the first counts."""
+    g = grid_fields(pages, key, html).where("label <> ''").groupBy(key, snake_key(F.col("label")).alias("k")).agg(F.min("values").alias("v"))
+    return g.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("fields"))  # one page's labels
+
+
+_SHEET = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+_DRAWN = "{http://schemas.openxmlformats.org/drawingml/2006/main}"
+_LINKED = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+
+
+def _column(reference: str) -> int:
+    n = 0
+    for ch in reference:
+        if ch.isalpha():
+            n = n * 26 + ord(ch.upper()) - 64
+    return n - 1
+
+
+def _sheets(z: zipfile.ZipFile) -> Iterator[tuple[str, list[list[str]]]]:
+    names = set(z.namelist())
+    shared = [] if "xl/sharedStrings.xml" not in names else ["".join(t.text or "" for t in si.iter(f"{_SHEET}t")) for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml"))]
+    links = {r.get("Id"): r.get("Target", "") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
+    for sheet in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{_SHEET}sheet"):
+        target = links.get(sheet.get(_LINKED), "").lstrip("/")
+        rows = []
+        for row in ElementTree.fromstring(z.read(target if target.startswith("xl/") else f"xl/{target}")).iter(f"{_SHEET}row"):
+            cells: list[str] = []
+            for c in row.iter(f"{_SHEET}c"):
+                at = _column(c.get("r", "")) if c.get("r") else len(cells)
+                cells += [""] * (at - len(cells))
+                v = c.find(f"{_SHEET}v")
+                if c.get("t") == "inlineStr":
+                    text = "".join(t.text or "" for t in c.iter(f"{_SHEET}t"))
+                elif v is None or v.text is None:
+                    text = ""
+                else:
+                    text = shared[int(v.text)] if c.get("t") == "s" else v.text
+                cells.append(text)
+            rows.append(cells)
+        yield sheet.get("name", ""), rows
+
+
+def spreadsheets(files: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
+    """``path``, ``sheet``, ``row_no``, ``cells`` (header to text, blank cells ''), ``error``: the rows below each sheet's header.
+
+    The files are archives of XML, read without a library for the format. A header that is missing or repeated takes its
+    column's number. A file that cannot be opened gives one row with its error.
+    """
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            for p, data in zip(pdf[path], pdf[content]):
+                out = []
+                try:
+                    with zipfile.ZipFile(io.BytesIO(data or b"")) as z:
+                        for sheet, rows in _sheets(z):
+                            width = max((len(r) for r in rows), default=0)
+                            head: list[str] = []
+                            for i, h in enumerate((rows[0] if rows else []) + [""] * width):
+                                head.append(h if h and h not in head else f"column {i + 1}")
+                            for n, r in enumerate(rows[1:], 1):
+                                out.append((p, sheet, n, dict(zip(head, r + [""] * (width - len(r)))), None))
+                except (zipfile.BadZipFile, KeyError, ElementTree.ParseError, ValueError, IndexError, RuntimeError) as e:
+                    out = [(p, None, None, None, type(e).__name__)]
+                yield pd.DataFrame(out, columns=["path", "sheet", "row_no", "cells", "error"]).astype({"row_no": "Int32"})
+
+    shape = "path string, sheet string, row_no int, cells map<string,string>, error string"
+    return files.select(path, content).mapInPandas(run, shape)
+
+
+def presentations(files: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
+    """``path``, ``slide_number``, ``texts`` (a paragraph each, without blank ones), ``tables`` (rows of cells), ``error``.
+
+    Slides come in the order of their numbers. A file that cannot be opened gives one row with its error.
+    """
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        said = lambda p: "".join(t.text or "" for t in p.iter(f"{_DRAWN}t")).strip()
+        for pdf in it:
+            for p, data in zip(pdf[path], pdf[content]):
+                out = []
+                try:
+                    with zipfile.ZipFile(io.BytesIO(data or b"")) as z:
+                        numbered = sorted((int(m.group(1)), n) for n in z.namelist() if (m := re.fullmatch(r"ppt/slides/slide(\d+)\.xml", n)))
+                        for i, (_, name) in enumerate(numbered, 1):
+                            root = ElementTree.fromstring(z.read(name))
+                            tables = [[[said(c) for c in r.iter(f"{_DRAWN}tc")] for r in t.iter(f"{_DRAWN}tr")] for t in root.iter(f"{_DRAWN}tbl")]
+                            inside = {id(x) for t in root.iter(f"{_DRAWN}tbl") for x in t.iter(f"{_DRAWN}p")}
+                            texts = [said(x) for x in root.iter(f"{_DRAWN}p") if id(x) not in inside and said(x)]
+                            out.append((p, i, texts, tables, None))
+                except (zipfile.BadZipFile, ElementTree.ParseError, RuntimeError) as e:
+                    out = [(p, None, None, None, type(e).__name__)]
+                yield pd.DataFrame(out, columns=["path", "slide_number", "texts", "tables", "error"]).astype({"slide_number": "Int32"})
+
+    return files.select(path, content).mapInPandas(run, "path string, slide_number int, texts array<string>, tables array<array<array<string>>>, error string")
+
+
+def read_sidecars(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
+    """JSON sidecars, one object a file, with their ``path``; files that are no object are skipped."""
+    raw = spark.read.text(pattern, wholetext=True).select(F.input_file_name().alias("path"), F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("r"), "value")
+    return raw.where(F.trim("value").startswith("{") & F.get_json_object("value", "$").isNotNull()).select("path", "r.*")
+
+
+def anchored_rows(points: list[tuple[float, float, str]], tolerance: float = 5.0) -> list[list[str]]:
+    """Texts placed on a page (x, y, text) in rows, top first: a row holds what lies within ``tolerance`` of the row's first point."""
+    rows: list[tuple[float, list[tuple[float, str]]]] = []
+    for x, y, text in sorted(points, key=lambda p: (-p[1], p[0])):
+        if rows and abs(rows[-1][0] - y) <= tolerance:
+            rows[-1][1].append((x, text))
+        else:
+            rows.append((y, [(x, text)]))
+    return [[t for _, t in sorted(r)] for _, r in rows]
+
+
+def checked_labels(operators: list[tuple[str, list]], tolerance: float = 5.0) -> list[str]:
+    """The labels beside the filled boxes of a page, top first.
+
+    ``operators`` are the page's drawing operators in order: ``q`` and ``Q`` save and restore the place, ``cm`` moves it
+    (a, b, c, d, e, f), ``box`` draws a box ([filled]) and ``text`` writes ([label]) there. A row is what lies within
+    ``tolerance`` of its first mark; a filled box stands for the next label to its right in its row.
+    """
+    stack: list[tuple[float, float]] = []
+    at = (0.0, 0.0)
+    marks: list[tuple[float, float, str]] = []
+    for name, given in operators:
+        if name == "q":
+            stack.append(at)
+        elif name == "Q":
+            at = stack.pop() if stack else (0.0, 0.0)
+        elif name == "cm":
+            at = (at[0] + float(given[4]), at[1] + float(given[5]))
+        elif name == "box":
+            marks.append((*at, "\u2611" if given and given[0] else "\u2610"))
+        elif name == "text":
+            marks.append((*at, str(given[0])))
+    out = []
+    for row in anchored_rows(marks, tolerance):
+        for mark, label in zip(row, row[1:]):
+            if mark == "\u2611" and label not in ("\u2610", "\u2611"):
+                out.append(label)
+    return out
+
+
 ARCHIVE_DEPTH = 5
 
 
 def unzip(files: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
     """``path``, ``member``, ``content``, ``error`` of all files in archives, those in inner archives too, flat.
 
-    Of members with the same base name the first counts. A broken archive, and one nested deeper than ``ARCHIVE_DEPTH``, gives
+    Of members with the same base name the first of the outermost level counts. A broken archive, and one nested deeper than ``ARCHIVE_DEPTH``, gives
     one row with its error.
     """
 
-    def members(data: bytes, seen: set[str], depth: int) -> Iterator[tuple[str | None, bytes | None, str | None]]:
-        try:
-            with zipfile.ZipFile(io.BytesIO(data)) as z:
-                for info in z.infolist():
-                    name = info.filename.replace("\\", "/").rsplit("/", 1)[-1]
-                    if info.is_dir() or not name:
-                        continue
-                    inner = z.read(info)
-                    if name.lower().endswith(".zip"):
-                        if depth >= ARCHIVE_DEPTH:
-                            yield name, None, "nested too deep"
-                        else:
-                            yield from members(inner, seen, depth + 1)
-                    elif name not in seen:
-                        seen.add(name)
-                        yield name, inner, None
-        except (zipfile.BadZipFile, RuntimeError, NotImplementedError, EOFError, OSError) as e:
-            yield None, None, type(e).__name__
+    def members(data: bytes) -> Iterator[tuple[str | None, bytes | None, str | None]]:
+        """Level by level: all plain members of a level come before those of the archives in it."""
+        seen: set[str] = set()
+        level: list[tuple[str | None, bytes]] = [(None, data)]
+        for depth in range(ARCHIVE_DEPTH + 2):
+            inner: list[tuple[str | None, bytes]] = []
+            for outer, content in level:
+                if depth > ARCHIVE_DEPTH:
+                    yield outer, None, "nested too deep"
+                    continue
+                try:
+                    with zipfile.ZipFile(io.BytesIO(content)) as z:
+                        for info in z.infolist():
+                            name = info.filename.replace("\\", "/").rsplit("/", 1)[-1]
+                            if info.is_dir() or not name:
+                                continue
+                            if name.lower().endswith(".zip"):
+                                inner.append((name, z.read(info)))
+                            elif name not in seen:
+                                seen.add(name)
+                                yield name, z.read(info), None
+                except (zipfile.BadZipFile, RuntimeError, NotImplementedError, EOFError, OSError) as e:
+                    yield outer, None, type(e).__name__
+            level = inner
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             for p, data in zip(pdf[path], pdf[content]):
-                for name, inner, error in members(data or b"", set(), 0):
+                for name, inner, error in members(data or b""):
                     yield pd.DataFrame([(p, name, inner, error)], columns=["path", "member", "content", "error"])
 
     shape = T.StructType([T.StructField(n, T.StringType()) for n in ("path", "member")] + [T.StructField("content", T.BinaryType()), T.StructField("error", T.StringType())])
