@@ -1,15 +1,19 @@
 """Evaluation passages in training text, by latent semantic retrieval and an exact alignment.
 
-Words are hashed into ``BUCKETS`` columns and weighted by inverse document frequency over all documents. A randomised SVD
-of the TF-IDF passages of the whole corpus and of the items (which get the same total weight as the corpus, so that what
-only the items speak of keeps its directions) is run in passes over the documents: a task sums a block of
-``BUCKETS x RANK`` numbers over its passages, the blocks are added up by column range in a shuffle, and only that one sum
-reaches the driver, whatever the corpus is in size. Every passage of every document is then compared by cosine with every
-passage of the items, which are a stated query set and are taken in blocks of bounded size; what comes near is aligned word
-by word with the whole item, and only exact findings are kept. What shares a run of ``SEED`` equal words with an item is
-aligned as well: every finding holds such a run, so none is lost by the cosine.
-
-Documents are scanned, never shuffled; no document's passage leaves its task.
+Every text is cut into words once; what goes on from there is a table of word hashes. Words are hashed into ``BUCKETS`` columns
+and weighted by inverse document frequency over all documents. A randomised SVD of the TF-IDF passages of the whole corpus and
+of the items (which get the same total weight as the corpus, so that what only the items speak of keeps its directions) takes
+two passes: the first sums A'(A R) for random R, of which an orthonormal basis Q is made; the second sums (A Q)'(A Q), whose
+eigenvectors turn Q into right singular vectors. The ``RANK`` leading ones are kept. A task sums blocks of fixed size, these
+are added up in a shuffle, and only the sums reach the driver, whatever the corpus is in size.
+
+Every passage of every document is then compared by cosine with every passage of the items, which are a stated query set and
+are taken in blocks of bounded size; what comes near is aligned word by word with the whole item. The cosine misses a few
+passages that lie across both cuts, so there is an exact way for the rest: what shares a run of ``SEED`` equal words with an
+item is aligned as well, and every finding holds such a run. :func:`find_paraphrases` keeps what is near by cosine but is no
+repetition, if the longest common subsequence with the item's passage and the words of its answer say it is the same.
+
+No document's text leaves its task but as its own words' hashes; copies cost what they weigh.
 """
 
 from __future__ import annotations
@@ -19,188 +23,211 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarind.session import spread
+from tamarind.session import cut_table, spread
 
 BUCKETS = 1 << 14
-RANK = 112
+RANK = 64
 OVERSAMPLE = 16
 PASSAGE = 20
-STRIDE = 5
-ITEM_STRIDE = 5
-MIN_COSINE = 0.75
+STRIDE = 10
+ITEM_STRIDE = 10
+MIN_COSINE = 0.6
 MIN_WORDS = 20
 #: L words of an item with at most L/10 differences hold a run of (L - L/10)/(L/10 + 1) equal words or more: 6 where L is 20.
 SEED = 6
-#: Passages of the items compared at once.
-PASSAGE_BLOCK = 8_192
-#: Items compared at once: bounds what a task holds of the query set.
-ITEM_BLOCK = 1_000
-_PIECES = 8
+#: Passages of the items compared at once, and words of documents.
+PASSAGE_BLOCK, WORDS_AT_ONCE = 8_192, 16_384
+#: Words of the items that are compared in one scan of the documents: bounds what a task holds of the query set.
+BLOCK_WORDS = 200_000
+#: Share of a passage's words in their order, and of the answer's rare words, that a paraphrase has at least.
+MIN_LCS, MIN_ANSWER = 0.5, 0.5
 
 _TAG = re.compile(r"<[/!a-zA-Z][^<>]{0,200}>")
-_BROKEN = re.compile(r"(?<=\w)[-­‐]\s*\n\s*(?=\w)")
+_BROKEN = re.compile(r"(?<=\w)[-\u00ad\u2010]\s*\n\s*(?=\w)")
 _DASH = re.compile(r"[–—/|\\]")
-_NOT_WORD = re.compile(r"[^\w]|_")
+_NOT_WORD = re.compile(r"[^\w\s]|_")
+_ANSWER = re.compile(r"\b(?:answer|solution)\s*:", re.IGNORECASE)
 
 
 def words(text: str) -> list[str]:
     """The words that count: without markup, case, punctuation and hyphens at the ends of lines."""
     text = html.unescape(_TAG.sub(" ", text)) if ("<" in text or "&" in text) else text
     text = _BROKEN.sub("", text.replace("\r", ""))
-    text = _DASH.sub(" ", unicodedata.normalize("NFKC", text).replace("­", "")).casefold()
-    return [w for w in (_NOT_WORD.sub("", x) for x in text.split()) if w]
+    text = _DASH.sub(" ", unicodedata.normalize("NFKC", text).replace("\u00ad", "")).casefold()
+    return _NOT_WORD.sub("", text).split()
 
 
-def _columns(tokens: list[str]) -> np.ndarray:
-    return np.fromiter((zlib.crc32(w.encode()) & (BUCKETS - 1) for w in tokens), np.int64, len(tokens))
+@lru_cache(500_000)
+def _code(word: str) -> int:
+    """32 bits of a word; the low ones are its column."""
+    return zlib.crc32(word.encode()) - (1 << 31)
 
 
-def _windows(n: int, size: int, stride: int) -> list[tuple[int, int]]:
-    """Starts and ends of the passages of a text of n words; the last one ends with the text."""
+def codes(text: str) -> np.ndarray:
+    tokens = words(text)
+    return np.fromiter(map(_code, tokens), np.int32, len(tokens))
+
+
+def _columns(w: np.ndarray) -> np.ndarray:
+    return (w & (BUCKETS - 1)).astype(np.int64)
+
+
+def _starts(n: int, size: int, stride: int) -> np.ndarray:
+    """Starts of the passages of a text of n words; the last one ends with the text."""
     if n <= size:
-        return [(0, n)] if n else []
-    starts = list(range(0, n - size, stride)) + [n - size]
-    return [(s, s + size) for s in starts]
+        return np.zeros(1 if n else 0, np.int64)
+    return np.append(np.arange(0, n - size, stride), n - size)
 
 
-def _project(cols: np.ndarray, spans: list[tuple[int, int]], basis: np.ndarray) -> np.ndarray:
-    """Sums of the basis rows of each passage's words."""
+def _project(cols: np.ndarray, starts: np.ndarray, ends: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """Unit vectors of the passages: sums of the basis rows of their words."""
     total = np.zeros((len(cols) + 1, basis.shape[1]), np.float32)
     np.cumsum(basis[cols], axis=0, out=total[1:], dtype=np.float32)
-    a, b = np.array(spans).T
-    return total[b] - total[a]
+    v = total[ends] - total[starts]
+    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
 
 
-def _runs(cols: np.ndarray) -> np.ndarray:
+def _runs(w: np.ndarray) -> np.ndarray:
     """A number for each run of ``SEED`` words; equal runs have equal numbers."""
-    out = np.zeros(max(0, len(cols) - SEED + 1), np.uint64)
+    out = np.zeros(max(0, len(w) - SEED + 1), np.uint64)
+    u = w.astype(np.uint64)
     for j in range(SEED if len(out) else 0):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + cols[j : j + len(out)].astype(np.uint64) + np.uint64(1)
+        out = out * np.uint64(0x9E3779B97F4A7C15) + u[j : j + len(out)] + np.uint64(1)
     return out
 
 
-def _add_rows(into: np.ndarray, cols: np.ndarray, rows: np.ndarray) -> None:
-    order = np.argsort(cols, kind="stable")
-    sorted_cols = cols[order]
-    first = np.flatnonzero(np.r_[True, sorted_cols[1:] != sorted_cols[:-1]])
-    into[sorted_cols[first]] += np.add.reduceat(rows[order], first, axis=0)
+def _laid(it: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Columns of many texts in a row and where their passages start, end to end; a long text is spread over several."""
+    held: list[np.ndarray] = []
+    n = 0
+    step = WORDS_AT_ONCE // PASSAGE * PASSAGE
+
+    def lay() -> tuple[np.ndarray, np.ndarray]:
+        offsets = np.cumsum([0, *map(len, held)])
+        return np.concatenate(held), np.concatenate([np.arange(o, o + len(c), PASSAGE) for o, c in zip(offsets, held)])
+
+    for pdf in it:
+        for w in pdf["w"]:
+            cols = _columns(np.asarray(w))
+            for at in range(0, len(cols), step):
+                held.append(cols[at : at + step])
+                n += len(held[-1])
+                if n >= step:
+                    yield lay()
+                    held, n = [], 0
+    if held:
+        yield lay()
 
 
-def _outer(batches: Iterator[list[np.ndarray]], idf: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, float]:
-    """A'(A basis) over the passages of the texts, and the passages' energy. Passages lie end to end, so each word counts once."""
+def _outer(it: Iterator[pd.DataFrame], idf: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, float]:
+    """A'(A basis) over the passages of the texts, and the passages' energy."""
     weighted = basis * idf[:, None]
     out = np.zeros_like(basis)
     energy = 0.0
-    for cols, starts in _chunks(batches):
+    for cols, starts in _laid(it):
         y = np.add.reduceat(weighted[cols], starts, axis=0)
-        size = np.diff(np.r_[starts, len(cols)])
-        _add_rows(out, cols, np.repeat(y, size, axis=0) * idf[cols][:, None])
+        rows = np.repeat(y, np.diff(np.r_[starts, len(cols)]), axis=0) * idf[cols][:, None]
+        order = np.argsort(cols, kind="stable")
+        at = cols[order]
+        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        out[at[first]] += np.add.reduceat(rows[order], first, axis=0)
         energy += float((idf[cols] ** 2).sum())
     return out, energy
 
 
-def _chunks(batches: Iterator[list[np.ndarray]], words_at_once: int = 16_384) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Columns of many texts in a row and where their passages start; a long text is spread over chunks."""
-    held: list[np.ndarray] = []
-    n = 0
-    for texts in batches:
-        for cols in texts:
-            for at in range(0, len(cols), words_at_once // PASSAGE * PASSAGE):
-                part = cols[at : at + words_at_once // PASSAGE * PASSAGE]
-                held.append(part)
-                n += len(part)
-                if n >= words_at_once:
-                    yield _laid(held)
-                    held, n = [], 0
-    if held:
-        yield _laid(held)
-
-
-def _laid(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    offsets = np.cumsum([0, *map(len, held)])
-    starts = np.concatenate([np.arange(o, o + len(c), PASSAGE) for o, c in zip(offsets, held)])
-    return np.concatenate(held), starts
-
-
-def _texts(it: Iterator[pd.DataFrame]) -> Iterator[list[np.ndarray]]:
-    for pdf in it:
-        yield [_columns(words(t)) for t in pdf["t"]]
+def _gram(it: Iterator[pd.DataFrame], idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """(A basis)'(A basis) over the passages of the texts."""
+    weighted = basis * idf[:, None]
+    out = np.zeros((basis.shape[1],) * 2)
+    for cols, starts in _laid(it):
+        y = np.add.reduceat(weighted[cols], starts, axis=0)
+        out += y.T @ y
+    return out
 
 
-def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
+def document_frequencies(tokens: DataFrame) -> tuple[np.ndarray, int]:
     """How many documents each column occurs in, over all documents; summed per task, then by a shuffle of columns."""
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         df = np.zeros(BUCKETS, np.int64)
         n = 0
-        for texts in _texts(it):
-            for cols in texts:
-                df[np.unique(cols)] += 1
-                n += 1
+        for pdf in it:
+            for w in pdf["w"]:
+                df[np.unique(np.asarray(w) & (BUCKETS - 1))] += 1
+            n += len(pdf)
         hit = np.flatnonzero(df)
         yield pd.DataFrame({"c": np.r_[hit, -1], "n": np.r_[df[hit], n]})
 
-    rows = docs.mapInPandas(run, "c bigint, n bigint").groupBy("c").agg(F.sum("n").alias("n")).toPandas()
+    rows = tokens.select("w").mapInPandas(run, "c bigint, n bigint").groupBy("c").agg(F.sum("n").alias("n")).toPandas()  # at most BUCKETS + 1 rows
     df = np.zeros(BUCKETS, np.float64)
     known = rows[rows["c"] >= 0]
     df[known["c"].to_numpy()] = known["n"].to_numpy()
     return df, int(rows.loc[rows["c"] < 0, "n"].sum())
 
 
-def _corpus_outer(docs: DataFrame, idf: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, float]:
-    rank = basis.shape[1]
-    shared = docs.sparkSession.sparkContext.broadcast((idf, basis))
+def _summed(tokens: DataFrame, block, rows: int, columns: int, pieces: int) -> np.ndarray:  # noqa: ANN001
+    """The sum over all tasks of the rows x columns block that ``block`` makes of a task's texts.
+
+    Each task cuts its block into pieces by row; a piece is added up in a shuffle, tree-wise where there are many tasks, so that
+    no task adds up more than a bounded number of blocks.
+    """
+    step = -(-rows // pieces)
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out, energy = _outer(_texts(it), *shared.value)
-        step = BUCKETS // _PIECES
-        for p in range(_PIECES):
-            yield pd.DataFrame({"piece": [p], "data": [out[p * step : (p + 1) * step].astype(np.float32).tobytes()], "energy": [energy if p == 0 else 0.0]})
+        total = block(it).astype(np.float32)
+        part = zlib.crc32(total[:64].tobytes())
+        for p in range(pieces):
+            yield pd.DataFrame({"piece": [p], "part": [part], "data": [total[p * step : (p + 1) * step].tobytes()]})
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(BUCKETS // _PIECES * rank, np.float32)
-        for b in pdf["data"]:
+        total = np.frombuffer(pdf["data"].iloc[0], np.float32).astype(np.float64)
+        for b in pdf["data"].iloc[1:]:
             total += np.frombuffer(b, np.float32)
-        return pd.DataFrame({"piece": [pdf["piece"][0]], "data": [total.tobytes()], "energy": [pdf["energy"].sum()]})
-
-    shape = "piece int, data binary, energy double"
-    parts = docs.mapInPandas(run, shape)
-    # tree-wise, so that no task adds up more than a bounded number of blocks
-    tasks = docs.rdd.getNumPartitions()
-    while tasks > 64:
-        tasks = -(-tasks // 32)
-        parts = (
-            parts.withColumn("g", (F.rand(7) * tasks).cast("int")).groupBy("piece", "g")
-            .applyInPandas(lambda pdf: add(pdf[["piece", "data", "energy"]].reset_index(drop=True)), shape)
-        )
-    rows = parts.groupBy("piece").applyInPandas(add, shape).collect()
-    out = np.zeros((BUCKETS, rank), np.float32)
-    step = BUCKETS // _PIECES
-    for r in rows:
-        out[r["piece"] * step : (r["piece"] + 1) * step] = np.frombuffer(r["data"], np.float32).reshape(step, rank)
-    shared.unpersist()
-    return out, sum(r["energy"] for r in rows)
-
-
-def latent_basis(docs: DataFrame, items: list[np.ndarray], idf: np.ndarray, power: int = 2, seed: int = 11) -> np.ndarray:
-    """Orthonormal columns that span the leading right singular vectors of the weighted TF-IDF passages."""
-    rng = np.random.default_rng(seed)
-    basis = rng.standard_normal((BUCKETS, RANK + OVERSAMPLE)).astype(np.float32)
-    for _ in range(power):
-        corpus, energy = _corpus_outer(docs, idf, basis)
-        own, own_energy = _outer(iter([items]), idf, basis)
-        basis, _ = np.linalg.qr(corpus + own * np.float32(max(energy, 1.0) / max(own_energy, 1e-9)))
-        basis = basis.astype(np.float32)
-    return basis[:, : RANK + OVERSAMPLE]
-
-
-def repeats(item: list[str], doc: list[str], least: int = MIN_WORDS) -> bool:
+        return pd.DataFrame({"piece": [pdf["piece"].iloc[0]], "part": [pdf["part"].iloc[0]], "data": [total.astype(np.float32).tobytes()]})
+
+    shape = "piece int, part bigint, data binary"
+    parts = tokens.select("w").mapInPandas(run, shape)
+    groups = max(1, len(tokens.inputFiles()) // 32)
+    while groups > 1:
+        parts = parts.groupBy("piece", F.pmod("part", F.lit(groups)).alias("g")).applyInPandas(lambda pdf: add(pdf), shape)
+        groups //= 32
+    found = parts.groupBy("piece").applyInPandas(add, shape).collect()  # one block
+    out = np.zeros((rows, columns), np.float32)
+    for r in found:
+        got = np.frombuffer(r["data"], np.float32).reshape(-1, columns)
+        out[r["piece"] * step : r["piece"] * step + len(got)] = got
+    return out
+
+
+def latent_basis(tokens: DataFrame, items: list[np.ndarray], idf: np.ndarray, corpus_energy: float, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+    """The ``RANK`` leading right singular vectors of the weighted TF-IDF passages, as columns, and their singular values."""
+    spark = tokens.sparkSession
+    width = RANK + OVERSAMPLE
+    mine = pd.DataFrame({"w": items})
+    own_energy = sum(float((idf[_columns(w)] ** 2).sum()) for w in items)
+    weight = max(corpus_energy, 1.0) / max(own_energy, 1e-9)
+    start = np.random.default_rng(seed).standard_normal((BUCKETS, width)).astype(np.float32)
+    shared = spark.sparkContext.broadcast((idf, start))
+    corpus = _summed(tokens, lambda it: _outer(it, *shared.value)[0], BUCKETS, width, 8)
+    q, _ = np.linalg.qr(corpus + np.float32(weight) * _outer(iter([mine]), idf, start)[0])
+    q = q.astype(np.float32)
+    again = spark.sparkContext.broadcast((idf, q))
+    gram = _summed(tokens, lambda it: _gram(it, *again.value), width, width, 1) + weight * _gram(iter([mine]), idf, q)
+    for b in (shared, again):
+        b.unpersist()
+    values, turn = np.linalg.eigh(gram)
+    lead = np.argsort(values)[::-1][:RANK]
+    return (q @ turn[:, lead]).astype(np.float32), np.sqrt(np.maximum(values[lead], 0))
+
+
+def repeats(item: list, doc: list, least: int = MIN_WORDS) -> bool:
     """Whether ``doc`` holds ``least`` or more consecutive words of ``item``, a tenth of them altered, missing or added.
 
     From every place where a run of equal words begins, the furthest reach of each number of differences is followed on the
@@ -208,7 +235,7 @@ def repeats(item: list[str], doc: list[str], least: int = MIN_WORDS) -> bool:
     """
     if len(item) < least:
         return False
-    places: dict[str, list[int]] = {}
+    places: dict = {}
     for j, w in enumerate(doc):
         places.setdefault(w, []).append(j)
     m, n = len(item), len(doc)
@@ -241,73 +268,170 @@ def repeats(item: list[str], doc: list[str], least: int = MIN_WORDS) -> bool:
     return False
 
 
+def common_subsequence(a: list, b: list) -> int:
+    """Length of the longest common subsequence."""
+    last = [0] * (len(b) + 1)
+    for x in a:
+        now = [0]
+        for j, y in enumerate(b):
+            now.append(last[j] + 1 if x == y else max(last[j + 1], now[j]))
+        last = now
+    return last[-1]
+
+
+class _Queries:
+    """A block of items as every task needs it: words, passages' vectors, runs, rare words of the answers."""
+
+    def __init__(self, items: list[tuple], basis: np.ndarray, idf: np.ndarray):
+        self.keys = [k for k, _, _ in items]
+        self.words = [w.tolist() for _, w, _ in items]
+        starts = [_starts(len(w), PASSAGE, ITEM_STRIDE) for _, w, _ in items]
+        self.owner = np.repeat(np.arange(len(items)), [len(x) for x in starts])
+        self.at = np.concatenate(starts)
+        self.vectors = np.concatenate([_project(_columns(w), x, np.minimum(x + PASSAGE, len(w)), basis) for (_, w, _), x in zip(items, starts)])
+        runs = [np.unique(_runs(w)) for _, w, _ in items]
+        owner = np.repeat(np.arange(len(runs)), [len(r) for r in runs])
+        order = np.argsort(np.concatenate(runs), kind="stable")
+        self.seeds, self.seed_owner = np.concatenate(runs)[order], owner[order]
+        median = float(np.median(idf))
+        self.answers = [{c for c in a.tolist() if idf[c & (BUCKETS - 1)] >= median} for _, _, a in items]
+
+
+def _near(pdf: pd.DataFrame, q: _Queries, basis: np.ndarray, min_cosine: float) -> tuple[set, set, list]:
+    """(row, item) that a cosine brings together, and those that a run of equal words does, over the rows of a part; and for the
+    former the best passages: (row, item, start in the document, start in the item, cosine)."""
+    texts = [np.asarray(w) for w in pdf["w"]]
+    offsets = np.cumsum([0, *map(len, texts)])
+    flat = np.concatenate(texts) if texts else np.zeros(0, np.int32)
+    by_cosine, by_run, best = set(), set(), {}
+    runs = _runs(flat)
+    if len(runs) and len(q.seeds):
+        first, last = np.searchsorted(q.seeds, runs), np.searchsorted(q.seeds, runs, "right")
+        for i in np.flatnonzero(first < last):
+            row = int(np.searchsorted(offsets, i, "right")) - 1
+            if i + SEED <= offsets[row + 1]:
+                by_run.update((row, int(o)) for o in q.seed_owner[first[i] : last[i]])
+    starts = [o + _starts(len(t), PASSAGE, STRIDE) for o, t in zip(offsets, texts)]
+    row_of = np.repeat(np.arange(len(texts)), [len(x) for x in starts])
+    starts = np.concatenate(starts) if starts else np.zeros(0, np.int64)
+    ends = np.minimum(starts + PASSAGE, offsets[row_of + 1]) if len(starts) else starts
+    for at in range(0, len(starts), WORDS_AT_ONCE // STRIDE):
+        part = slice(at, at + WORDS_AT_ONCE // STRIDE)
+        low, high = starts[part][0], ends[part].max()
+        v = _project(_columns(flat[low:high]), starts[part] - low, ends[part] - low, basis)
+        for b in range(0, len(q.vectors), PASSAGE_BLOCK):
+            cosine = v @ q.vectors[b : b + PASSAGE_BLOCK].T
+            hit = np.flatnonzero(cosine.max(axis=1) >= min_cosine)
+            for i, j in zip(*np.nonzero(cosine[hit] >= min_cosine)):
+                i = hit[i]
+                key = (int(row_of[at + i]), int(q.owner[b + j]))
+                by_cosine.add(key)
+                if float(cosine[i, j]) > best.get(key, (0.0,))[0]:
+                    best[key] = (float(cosine[i, j]), int(starts[at + i] - offsets[key[0]]), int(q.at[b + j]))
+    return by_cosine, by_run, [(*k, *v) for k, v in best.items()]
+
+
+def _prepared(docs: DataFrame, items: DataFrame, doc_key: str, doc_text: str, item_key: str, item_text: str):  # noqa: ANN202
+    """Token table, idf, basis and the blocks of items."""
+    shape = f"k {dict(docs.dtypes)[doc_key]}, w array<int>"
+
+    def tokenise(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            yield pd.DataFrame({"k": pdf["k"], "w": [codes(t) for t in pdf["t"]]})
+
+    # spread() looks at the files, so the narrowing select comes after it
+    corpus = spread(docs).where(F.length(F.trim(doc_text)) > 0).select(F.col(doc_key).alias("k"), F.col(doc_text).alias("t"))
+    tokens = cut_table(corpus.mapInPandas(tokenise, shape))
+    blocks: list[list[tuple]] = [[]]
+    size = 0
+    for r in items.where(F.col(item_text).isNotNull()).select(F.col(item_key).alias("k"), F.col(item_text).alias("t")).toLocalIterator():
+        w = codes(r["t"])
+        if len(w) < MIN_WORDS:
+            continue
+        if size and size + len(w) > BLOCK_WORDS:
+            blocks.append([])
+            size = 0
+        mark = _ANSWER.search(r["t"])
+        blocks[-1].append((r["k"], w, codes(r["t"][mark.end() :]) if mark else w[:0]))
+        size += len(w)
+    blocks = [b for b in blocks if b]
+    if not blocks:
+        return tokens, None, None, []
+    df, n = document_frequencies(tokens)
+    idf = np.log((n + 2.0) / (df + 1.0)).astype(np.float32) + np.float32(0.01)
+    energy = float(tokens.select(F.sum(F.size("w"))).first()[0] or 0) * float((idf**2 * df).sum() / max(1.0, df.sum()))
+    basis, _ = latent_basis(tokens, [w for b in blocks for _, w, _ in b], idf, energy)
+    return tokens, idf, basis * idf[:, None], blocks
+
+
 def find_leaks(
-    docs: DataFrame, items: DataFrame, doc_key: str, doc_text: str, item_key: str, item_text: str, min_cosine: float = MIN_COSINE
+    docs: DataFrame, items: DataFrame, doc_key: str, doc_text: str, item_key: str, item_text: str, min_cosine: float = MIN_COSINE, by_runs: bool = True
 ) -> DataFrame:
     """(item_key, doc_key) of every document that repeats a passage of an item.
 
     Null and blank texts hold nothing; items of fewer than ``MIN_WORDS`` words cannot be repeated. Copies of a document and
-    of an item each count. Items are read in blocks of ``ITEM_BLOCK``; the documents are scanned once for each block, and
-    three times for the statistics. An empty table on either side gives no row.
+    of an item each count. The documents' words are read once for the frequencies, twice for the basis and once for each block
+    of ``BLOCK_WORDS`` words of items. Without ``by_runs`` the cosine is the only way to a candidate. An empty table on either
+    side gives no row; other columns are never read.
     """
     spark = docs.sparkSession
     kinds = f"{item_key} {dict(items.dtypes)[item_key]}, {doc_key} {dict(docs.dtypes)[doc_key]}"
-    corpus = spread(docs.where(F.length(F.trim(doc_text)) > 0).select(F.col(doc_key).alias("k"), F.col(doc_text).alias("t")))
-    queries = items.where(F.col(item_text).isNotNull()).select(F.col(item_key).alias("k"), F.col(item_text).alias("t"))
-    n_items = queries.count()
-    blocks = max(1, -(-n_items // ITEM_BLOCK))
-    df, n = document_frequencies(corpus.select("t"))
+    tokens, idf, basis, blocks = _prepared(docs, items, doc_key, doc_text, item_key, item_text)
     found = None
-    for block in range(blocks):
-        mine = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("k"), F.lit(blocks)) == block)
-        texts = [(r["k"], words(r["t"])) for r in mine.toLocalIterator()]
-        texts = [(k, w) for k, w in texts if len(w) >= MIN_WORDS]
-        if not texts:
-            continue
-        columns = [_columns(w) for _, w in texts]
-        idf = np.log((n + 2.0) / (df + 1.0)).astype(np.float32) + np.float32(0.01)
-        basis = latent_basis(corpus.select("t"), columns, idf) * idf[:, None]
-        vectors, owner = [], []
-        for q, cols in enumerate(columns):
-            v = _project(cols, _windows(len(cols), PASSAGE, ITEM_STRIDE), basis)
-            vectors.append(v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9))
-            owner.append(np.full(len(v), q))
-        runs = [np.unique(_runs(cols)) for cols in columns]
-        run_owner = np.repeat(np.arange(len(runs)), [len(r) for r in runs])
-        order = np.argsort(np.concatenate(runs), kind="stable")
-        seeds = (np.concatenate(runs)[order], run_owner[order])
-        shared = spark.sparkContext.broadcast((texts, np.concatenate(vectors), np.concatenate(owner), seeds, basis))
+    for block in blocks:
+        shared = spark.sparkContext.broadcast((_Queries(block, basis, idf), basis))
 
         def search(it: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            known, vectors, owner, (seed, seed_owner), basis = shared.value
-            for pdf in it:
+            q, basis = shared.value
+            for whole in it:
                 out = []
-                for key, text in zip(pdf["k"], pdf["t"]):
-                    doc = words(text)
-                    cols = _columns(doc)
-                    spans = _windows(len(cols), PASSAGE, STRIDE)
-                    if not spans:
-                        continue
-                    near = np.zeros(len(known), bool)
-                    own = np.unique(_runs(cols))
-                    first, last = np.searchsorted(seed, own), np.searchsorted(seed, own, "right")
-                    for x, y in zip(first[first < last], last[first < last]):
-                        near[seed_owner[x:y]] = True
-                    for at in range(0, len(spans), 512):
-                        # positions of a block of passages, so that long texts need no more memory than short ones
-                        part = spans[at : at + 512]
-                        low = part[0][0]
-                        local = cols[low : part[-1][1]]
-                        v = _project(local, [(a - low, b - low) for a, b in part], basis)
-                        v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
-                        for b in range(0, len(vectors), PASSAGE_BLOCK):
-                            best = (v @ vectors[b : b + PASSAGE_BLOCK].T).max(axis=0)
-                            near[owner[b : b + PASSAGE_BLOCK][best >= min_cosine]] = True
-                    for q in np.flatnonzero(near):
-                        if repeats(known[q][1], doc):
-                            out.append((known[q][0], key))
+                for at in range(0, len(whole), 256):
+                    pdf = whole.iloc[at : at + 256]
+                    by_cosine, by_run, _ = _near(pdf, q, basis, min_cosine)
+                    rows: dict[int, list] = {}
+                    for row, item in by_cosine | by_run if by_runs else by_cosine:
+                        rows.setdefault(row, []).append(item)
+                    for row, near in rows.items():
+                        doc = np.asarray(pdf["w"].iloc[row]).tolist()
+                        # a repetition holds a run of equal words, so what has none is not aligned
+                        out += [(q.keys[i], pdf["k"].iloc[row]) for i in near if (row, i) in by_run and repeats(q.words[i], doc)]
                 yield pd.DataFrame(out, columns=[item_key, doc_key])
 
-        part = corpus.mapInPandas(search, kinds)
+        part = tokens.mapInPandas(search, kinds)
         found = part if found is None else found.unionByName(part)
     return spark.createDataFrame([], kinds) if found is None else found.distinct()
+
+
+def find_paraphrases(docs: DataFrame, items: DataFrame, doc_key: str, doc_text: str, item_key: str, item_text: str, min_cosine: float = MIN_COSINE) -> DataFrame:
+    """(item_key, doc_key, cosine, lcs, answer): documents with a passage near an item's that is no repetition of it.
+
+    ``lcs`` is the share of the item's passage that the document's has in the same order, ``answer`` that of the rare words of the
+    item's answer which the document holds (0 where the item states none). Kept are those with ``MIN_LCS`` or ``MIN_ANSWER``.
+    """
+    spark = docs.sparkSession
+    kinds = f"{item_key} {dict(items.dtypes)[item_key]}, {doc_key} {dict(docs.dtypes)[doc_key]}, cosine double, lcs double, answer double"
+    tokens, idf, basis, blocks = _prepared(docs, items, doc_key, doc_text, item_key, item_text)
+    found = None
+    for block in blocks:
+        shared = spark.sparkContext.broadcast((_Queries(block, basis, idf), basis))
+
+        def search(it: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            q, basis = shared.value
+            for whole in it:
+                out = []
+                for at in range(0, len(whole), 256):
+                    pdf = whole.iloc[at : at + 256]
+                    _, by_run, best = _near(pdf, q, basis, min_cosine)
+                    for row, item, cosine, there, here in best:
+                        doc = np.asarray(pdf["w"].iloc[row]).tolist()
+                        passage = q.words[item][here : here + PASSAGE]
+                        lcs = common_subsequence(passage, doc[max(0, there - STRIDE) : there + PASSAGE + STRIDE]) / len(passage)
+                        rare = q.answers[item]
+                        answer = len(rare.intersection(doc)) / len(rare) if rare else 0.0
+                        if (lcs >= MIN_LCS or answer >= MIN_ANSWER) and not ((row, item) in by_run and repeats(q.words[item], doc)):
+                            out.append((q.keys[item], pdf["k"].iloc[row], cosine, lcs, answer))
+                yield pd.DataFrame(out, columns=[item_key, doc_key, "cosine", "lcs", "answer"])
+
+        part = tokens.mapInPandas(search, kinds)
+        found = part if found is None else found.unionByName(part)
+    return spark.createDataFrame([], kinds) if found is None else found

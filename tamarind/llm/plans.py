@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarind.functions.instants import instant
-from tamarind.llm.leaks import find_leaks
+from tamarind.functions.instants import day_of
+from tamarind.llm.leaks import find_leaks, find_paraphrases
 from tamarind.llm.matching import match_records
 from tamarind.llm.mixing import mix_documents, mix_report
 from tamarind.llm.mojibake import restore_texts
@@ -50,17 +50,16 @@ def p7_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
     tenders = latest(table(spark, sf_dir, "tenders_all"), "title", "procuring_entity", "project_reference_number", "submission_deadline", "publication_date", "status")
     notices = latest(table(spark, sf_dir, "award_details_all").where("title is not null"), "title", "official_name", "tender_reference_number", "contract_award_date_raw")
-    day = lambda micros: F.floor(micros / 86_400_000_000).cast("int")
-    tenders = tenders.withColumn("closes", day(instant(F.col("submission_deadline"))))
+    tenders = tenders.withColumn("closes", day_of(F.col("submission_deadline")))
     # a tender is dated by its deadline, else by its publication, which is parsed only then
-    tenders = tenders.withColumn("day", F.coalesce("closes", day(instant(F.when(F.col("closes").isNull(), F.col("publication_date"))))))
+    tenders = tenders.withColumn("day", F.coalesce("closes", day_of(F.when(F.col("closes").isNull(), F.col("publication_date")))))
     left = tenders.select(
         F.col("resource_id").alias("id"), "title", F.col("procuring_entity").alias("entity"), F.col("project_reference_number").alias("reference"),
         "day", F.col("closes").isNull().cast("int").alias("basis"), F.col("status").alias("trait"),
     )
     right = notices.select(
         F.col("resource_id").alias("id"), "title", F.col("official_name").alias("entity"), F.col("tender_reference_number").alias("reference"),
-        day(instant(F.col("contract_award_date_raw"))).alias("day"),
+        day_of(F.col("contract_award_date_raw")).alias("day"),
     )
     return left, right
 
@@ -78,6 +77,11 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), "doc_id", "text", "item_id", "item_text")
 
 
+def p8_paraphrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a passage near an item's that is no repetition, by common subsequence and the answer's words."""
+    return find_paraphrases(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), "doc_id", "text", "item_id", "item_text")
+
+
 def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents drawn and how often each is used, at the largest total that meets every source's share."""
     return mix_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"), "doc_id", "text", "source")
@@ -98,7 +102,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p5_found": p5_found, "p5_pieces": p5_pieces, "p7_found": p7_found, "p7_matches": p7_matches, "p8_found": p8_found, "p9_mix": p9_mix, "p9_report": p9_report, "p10_found": p10_found, "p10_restored": p10_restored}
+    return {"p1_found": p1_found, "p5_found": p5_found, "p5_pieces": p5_pieces, "p7_found": p7_found, "p7_matches": p7_matches, "p8_found": p8_found, "p8_paraphrases": p8_paraphrases, "p9_mix": p9_mix, "p9_report": p9_report, "p10_found": p10_found, "p10_restored": p10_restored}
 
 
 _P5_SQL = r"""

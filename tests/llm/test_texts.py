@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -106,6 +108,50 @@ def test_find_leaks(spark):
     assert leaks.find_leaks(d, i.limit(0), "k", "t", "item", "t").count() == 0
 
 
+@pytest.mark.parametrize("length", [60, 300, 1000, 3000])
+def test_copies_of_long_items(spark, length):
+    """A copy of 25 words is found whatever the item's length, by the cosine alone as well."""
+    rng = random.Random(length)
+    made = lambda n: ["".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(n)]
+    items = [made(length) for _ in range(10)]
+    docs = []
+    for i, item in enumerate(items):
+        at = rng.randrange(length - 25)
+        docs.append((i, " ".join(made(200) + item[at : at + 25] + made(200))))
+    docs += [(100 + i, " ".join(made(400))) for i in range(20)]
+    d = spark.createDataFrame(docs, "k int, t string")
+    q = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item int, t string")
+    for by_runs in (True, False):
+        got = {(r["item"], r["k"]) for r in leaks.find_leaks(d, q, "k", "t", "item", "t", by_runs=by_runs).collect()}
+        assert got == {(i, i) for i in range(10)}, (length, by_runs)
+
+
+def test_singular_vectors(spark):
+    """The basis spans the leading right singular vectors, as an exact decomposition gives them."""
+    rng = np.random.default_rng(3)
+    texts = [rng.choice(60, 20, p=np.arange(60, 0, -1) / 1830).astype(np.int32) for _ in range(400)]
+    tokens = spark.createDataFrame([(i, t.tolist()) for i, t in enumerate(texts)], "k int, w array<int>")
+    idf = np.ones(leaks.BUCKETS, np.float32)
+    item = [texts[0]]
+    basis, values = leaks.latent_basis(tokens, item, idf, 1e-9)
+    a = np.zeros((400, 60))
+    for i, t in enumerate(texts):
+        np.add.at(a[i], t, 1)
+    want = np.linalg.svd(a, compute_uv=False)
+    assert basis.shape == (leaks.BUCKETS, leaks.RANK) and np.allclose(basis.T @ basis, np.eye(leaks.RANK), atol=1e-3)
+    assert np.allclose(values[:20], want[:20], rtol=0.05)
+
+
+def test_paraphrases(spark):
+    item = "question alpha bravo charlie delta echo foxtrot golf hotel india juliet kilo lima answer: mike november oscar papa quebec romeo sierra tango uniform"
+    other = "alpha so bravo then charlie or delta and echo foxtrot golf hotel with india juliet kilo for lima mike november by oscar papa quebec romeo"
+    docs = spark.createDataFrame([(1, other), (2, item), (3, "nothing of that sort at all " * 5), (4, None)], "k int, t string")
+    items = spark.createDataFrame([(7, item)], "item int, t string")
+    got = leaks.find_paraphrases(docs, items, "k", "t", "item", "t", 0.5).collect()
+    assert [r["k"] for r in got] == [1] and got[0]["lcs"] >= 0.5
+    assert leaks.find_paraphrases(docs.limit(0), items, "k", "t", "item", "t").count() == 0
+
+
 def test_least_leaks_of_long_items(spark):
     rng = np.random.default_rng(5)
     word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
