@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import permutations
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -71,14 +72,20 @@ GIVEN = {
 }
 
 _DROPPED = frozenset(DROPPED.split())
-_COMMON = tuple(COMMON.split())
-_COMMON_SET = frozenset(_COMMON)
 _TRADES = frozenset(TRADES.split())
 _NICK: dict[str, list[str]] = {}
 for _full, _shorts in GIVEN.items():
     for _s in (_full, *_shorts.split()):
         _NICK.setdefault(_s, []).append(_full)
 
+#: A word with so many different partners in names is a common one, if so large a share of all distinct names has it; so there are
+#: at most as many common words as words a name times 1 / COMMON_SHARE, whatever the data.
+COMMON_PARTNERS, COMMON_SHARE = 24, 0.0005
+#: Partners that occur in fewer distinct names are misspellings, most likely, and do not count.
+PARTNER_NAMES = 3
+#: Share of an abbreviation's names that must also be there with the word it stands for.
+SHORT_SHARE = 0.1
+
 
 def edits(a: str, b: str, most: int) -> int:
     """Edit distance with swaps of neighbours, in a band of ``most`` around the diagonal; ``most + 1`` if it is larger."""
@@ -121,37 +128,45 @@ def _neighbours(words: list[str]) -> dict[str, list[str]]:
     return out
 
 
-_NEAR_COMMON = _neighbours([w for w in _COMMON if len(w) >= 4])
-_NEAR_SHORT = _neighbours([w for w in SHORT if len(w) >= 5])
-
-
 def _one_edit(token: str, index: dict[str, list[str]]) -> set[str]:
     return {w for d in less_one(token) for w in index.get(d, ()) if edits(token, w, 1) <= 1}
 
 
-_word_cache: dict[str, str] = {}
-
-
-def common_word(token: str) -> str:
-    """The common word that ``token`` is, abbreviates or misspells, '' for a misspelt legal form; else ``token``."""
-    known = _word_cache.get(token)
-    if known is None:
-        if token in _COMMON_SET:
-            known = token
-        elif token in SHORT:
-            known = SHORT[token]
-        elif len(token) >= 6 and any(edits(token, w, 1) <= 1 for w in ("limited", "incorporated")):
-            known = ""
-        else:
-            near = sorted(_one_edit(token, _NEAR_COMMON)) if len(token) >= 4 else []
-            if not near and 4 <= len(token) <= 6:
-                near = [w for w in _COMMON if len(w) >= len(token) + 2 and (w.startswith(token) or w[-1] == token[-1] and _squeezed(token, w))]
-            if not near and len(token) >= 5:
-                near = sorted({SHORT[w] for w in _one_edit(token, _NEAR_SHORT)})
-            known = near[0] if len(near) == 1 else token
-        if len(_word_cache) < 200_000:
-            _word_cache[token] = known
-    return known
+class Lexicon:
+    """Common words and their abbreviations: the general ones above, and what :func:`learn` finds in the data."""
+
+    def __init__(self, common: Iterable[str] = (), short: dict[str, str] | None = None):
+        self.short = {**(short or {}), **SHORT}
+        self.common = (frozenset(COMMON.split()) | frozenset(common)) - self.short.keys()
+        self._near_common = _neighbours([w for w in self.common if len(w) >= 4])
+        self._near_short = _neighbours([w for w in self.short if len(w) >= 5])
+        self._by_first: dict[str, list[str]] = {}
+        for w in sorted(self.common):
+            self._by_first.setdefault(w[0], []).append(w)
+        self._cache: dict[str, str] = {}
+
+    def word(self, token: str) -> str:
+        """The common word that ``token`` is, abbreviates or misspells, '' for a misspelt legal form; else ``token``."""
+        known = self._cache.get(token)
+        if known is None:
+            known = self._look(token)
+            if len(self._cache) < 200_000:
+                self._cache[token] = known
+        return known
+
+    def _look(self, token: str) -> str:
+        if token in self.common:
+            return token
+        if token in self.short:
+            return self.short[token]
+        if len(token) >= 6 and any(edits(token, w, 1) <= 1 for w in ("limited", "incorporated")):
+            return ""
+        near = sorted(_one_edit(token, self._near_common)) if len(token) >= 4 else []
+        if not near and 4 <= len(token) <= 6:
+            near = [w for w in self._by_first.get(token[0], ()) if len(w) >= len(token) + 2 and (w.startswith(token) or w[-1] == token[-1] and _squeezed(token, w))]
+        if not near and len(token) >= 5:
+            near = sorted({self.short[w] for w in _one_edit(token, self._near_short)})
+        return near[0] if len(near) == 1 else token
 
 
 def _squeezed(token: str, word: str) -> bool:
@@ -168,12 +183,24 @@ def _given(token: str) -> list[str]:
     return []
 
 
-def take_apart(raw: str, people: bool) -> tuple[str, str, str, str] | None:
+_GENERAL: list[Lexicon] = []
+
+
+def general() -> Lexicon:
+    """The lexicon without anything learnt."""
+    if not _GENERAL:
+        _GENERAL.append(Lexicon())
+    return _GENERAL[0]
+
+
+def take_apart(raw: str, people: bool, lexicon: Lexicon | None = None) -> tuple[str, str, str, str] | None:
     """(form, head, rest, middle) of a name; None if nothing is left of it.
 
     form is ``body``, ``short`` (initials of a body), ``person`` (rest is the given name) or ``initial`` (rest is its first
-    letter); a nickname of several given names is ``nick``, with the names joined by ``|``.
+    letter); a nickname of several given names is ``nick``, with the names joined by ``|``. The words of a head are separated by
+    blanks, in the order typed.
     """
+    lexicon = lexicon or general()
     text = unicodedata.normalize("NFKD", raw)
     text = "".join(c for c in text if not unicodedata.combining(c))
     text = re.sub(r"\s+", " ", text).strip()
@@ -187,31 +214,31 @@ def take_apart(raw: str, people: bool) -> tuple[str, str, str, str] | None:
     tokens = re.findall(r"[a-z0-9]+", text)
     words = [w for w in tokens if w not in _DROPPED]
     if people:
-        person = _person([w for w in tokens if len(w) == 1 or w not in _DROPPED], text)
+        person = _person([w for w in tokens if len(w) == 1 or w not in _DROPPED], lexicon)
         if person:
             return person
     joined: list[str] = []
     for w in words:
-        c = common_word(w)
+        c = lexicon.word(w)
         if not c:
             continue
-        if joined and joined[-1][0] == "part" and w not in _COMMON_SET and w not in SHORT:
+        if joined and joined[-1][0] == "part" and w not in lexicon.common and w not in lexicon.short:
             joined[-1] = ("word", joined[-1][1] + w)
-        elif not joined and len(w) <= 4 and c not in _COMMON_SET:
+        elif not joined and len(w) <= 4 and c not in lexicon.common:
             joined.append(("part", w))
         else:
             joined.append(("word", c))
     flat = [w for _, w in joined]
-    rest = sorted({w for w in flat if w in _COMMON_SET})
+    rest = sorted({w for w in flat if w in lexicon.common})
     if people and len(rest) > 1 and "company" in rest and not re.search(r"\band\s+co(mpany)?\b", text):
         rest.remove("company")
-    head = [w for w in flat if w not in _COMMON_SET]
+    head = [w for w in flat if w not in lexicon.common]
     if not head and not rest:
         return None
-    return ("body", "".join(head), " ".join(rest), "")
+    return ("body", " ".join(head), " ".join(rest), "")
 
 
-def _person(words: list[str], text: str) -> tuple[str, str, str, str] | None:
+def _person(words: list[str], lexicon: Lexicon) -> tuple[str, str, str, str] | None:
     letters = [w for w in words if len(w) == 1]
     names = [w for w in words if len(w) > 1]
     if len(names) == 2 and len(letters) <= 1:
@@ -220,12 +247,12 @@ def _person(words: list[str], text: str) -> tuple[str, str, str, str] | None:
         found = exact or [(i, g) for i, g in options if g]
         if len(found) >= 1:
             i, g = found[0]
-            if any(common_word(n) in _COMMON_SET for n in (names[1 - i],)):
+            if lexicon.word(names[1 - i]) in lexicon.common:
                 return None
             middle = letters[0] if letters else ""
             return ("person" if len(g) == 1 else "nick", names[1 - i], "|".join(g), middle)
         return None
-    if len(names) == 1 and 1 <= len(letters) <= 2 and common_word(names[0]) not in _COMMON_SET:
+    if len(names) == 1 and 1 <= len(letters) <= 2 and lexicon.word(names[0]) not in lexicon.common:
         first = letters[0]
         return ("initial", names[0], first, letters[1] if len(letters) > 1 else "")
     return None
@@ -249,6 +276,17 @@ def _segments(head: str, k: int) -> list[tuple[int, int]]:
 INDEX_EDITS = 2
 
 
+def orders(head: str) -> list[str]:
+    """A head's words run together in the orders they may have been typed in: all of them for up to three words; for more the
+    order typed, each of its turns, and the alphabetical one."""
+    words = head.split(" ")
+    if len(words) == 1:
+        return words
+    if len(words) <= 3:
+        return sorted({"".join(p) for p in permutations(words)})
+    return sorted({"".join(words[i:] + words[:i]) for i in range(len(words))} | {"".join(sorted(words))})
+
+
 def _index_keys(head: str) -> list[str]:
     return [f"{len(head)}:{i}:{head[a : a + n]}" for i, (a, n) in enumerate(_segments(head, INDEX_EDITS))]
 
@@ -267,31 +305,91 @@ def _probe_keys(head: str) -> list[str]:
 _PARTS = "kind string, raw string, form string, head string, rest string, middle string, typed array<string>"
 
 
-def _apart(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in it:
-        out = []
-        for kind, raw in zip(pdf["kind"], pdf["raw"]):
-            found = take_apart(raw, kind != "authority")
-            if found:
-                out.append((kind, raw, *found, acronyms(raw) if kind == "authority" else []))
-        yield pd.DataFrame(out, columns=["kind", "raw", "form", "head", "rest", "middle", "typed"])
+def _apart(lexicon: tuple[frozenset[str], dict[str, str]]):  # noqa: ANN202
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = Lexicon(*lexicon)
+        for pdf in it:
+            out = []
+            for kind, raw in zip(pdf["kind"], pdf["raw"]):
+                found = take_apart(raw, kind != "authority", known)
+                if found:
+                    out.append((kind, raw, *found, acronyms(raw) if kind == "authority" else []))
+            yield pd.DataFrame(out, columns=["kind", "raw", "form", "head", "rest", "middle", "typed"])
+
+    return run
+
+
+def learn(distinct: DataFrame) -> tuple[frozenset[str], dict[str, str]]:
+    """Common words of the names (kind, raw) given, and the abbreviations people use for them.
+
+    A common word stands beside many different words. A shorter word that is one with letters left out is its abbreviation if
+    both complete the same name: without them what is left of two names is the same. An abbreviation that so stands for several
+    words stands for the one with more such names. What comes to the driver is bounded by ``COMMON_SHARE`` and, for the abbreviations, by
+    the words that share a first letter with, and are made of the letters of, a common word.
+    """
+    bare = F.regexp_replace(F.regexp_replace(F.lower("raw"), r"['\u2019`.]", ""), "[^a-z0-9]+", " ")
+    words = F.array_sort(F.array_distinct(F.filter(F.split(F.trim(bare), " "), lambda w: (F.length(w) > 1) & ~w.isin(sorted(_DROPPED)))))
+    names = cut(distinct.select(words.alias("ws")).where(F.size("ws").between(2, 12)).distinct())
+    n = names.count()
+    counts = names.select(F.explode("ws").alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    often = counts.where(F.col("n") >= PARTNER_NAMES)
+    pairs = names.select(F.explode("ws").alias("w"), "ws").select("w", F.explode("ws").alias("p")).where("w <> p").distinct()
+    partners = pairs.join(often.select(F.col("w").alias("p")), "p").groupBy("w").agg(F.count("*").alias("partners"))
+    wide = partners.join(counts, "w").where((F.col("partners") >= COMMON_PARTNERS) & (F.col("n") >= COMMON_SHARE * n) & (F.length("w") >= 4))
+    rows = wide.select("w", "n").collect()
+    seen = {r["w"]: r["n"] for r in rows}
+    # a frequent misspelling of a frequent word is no word of its own
+    near = _neighbours(sorted(seen))
+    common = frozenset(w for w in seen if w not in _NICK and not any(x != w and seen[x] > 3 * seen[w] for x in _one_edit(w, near)))
+    full = sorted(common | frozenset(COMMON.split()))
+    by_first = {c: [w for w in full if w[0] == c] for c in {w[0] for w in full}}
+    framed = names.select(F.explode("ws").alias("w"), "ws").select("w", F.xxhash64(F.array_join(F.array_remove("ws", F.col("w")), " ")).alias("frame"))
+
+    @F.pandas_udf("array<string>")
+    def stands_for(tokens: pd.Series) -> pd.Series:
+        return pd.Series([[w for w in by_first.get(t[0], ()) if len(w) >= len(t) + 2 and _squeezed(t, w)] if len(t) <= 8 else [] for t in tokens])
+
+    short = framed.select("w").distinct().select("w", F.explode(stands_for("w")).alias("long"))
+    hits = framed.join(short, "w").join(framed.select(F.col("w").alias("long"), "frame"), ["long", "frame"]).groupBy("w", "long").agg(F.countDistinct("frame").alias("n"))
+    own = framed.groupBy("w").agg(F.countDistinct("frame").alias("own"))
+    best = hits.groupBy("w").agg(F.max(F.struct("n", "long")).alias("b"), F.sum("n").alias("all")).join(own, "w")
+    best = best.where((F.col("b.n") * 2 > F.col("all")) & (F.col("b.n") >= SHORT_SHARE * F.col("own")))
+    short_for = {r["w"]: r["long"] for r in best.where(~F.col("w").isin(sorted(_NICK))).select("w", F.col("b.long").alias("long")).collect()}
+    # an abbreviation is no word of its own, and stands for what its word stands for
+    for w in list(short_for):
+        while short_for[w] in short_for:
+            short_for[w] = short_for[short_for[w]]
+    return common - short_for.keys(), short_for
 
 
 def _keyed(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in it:
         out = []
         for node, kind, form, head, rest in zip(pdf["node"], pdf["kind"], pdf["form"], pdf["head"], pdf["rest"]):
-            own = set(_index_keys(head))
+            # the order typed is indexed, and the alphabetical one of many words; all orders are looked up
+            words = head.split(" ")
+            own = {k for x in {"".join(words), *(["".join(sorted(words))] if len(words) > 3 else [])} for k in _index_keys(x)}
             for k in own:
                 out.append((f"{kind}|{form}|{rest}|{k}", node, head, True))
-            for k in _probe_keys(head):
+            for k in {k for x in orders(head) for k in _probe_keys(x)}:
                 out.append((f"{kind}|{form}|{rest}|{k}", node, head, False))
         yield pd.DataFrame(out, columns=["key", "node", "head", "indexed"])
 
 
+def near_heads(a: str, b: str) -> bool:
+    """Whether two heads differ by the edits granted to the shorter one, in any order of the words of ``b``."""
+    plain = a.replace(" ", "")
+    k = allowed(min(len(plain), len(b.replace(" ", ""))))
+    tried = orders(b)
+    if edits(plain, b.replace(" ", ""), k) <= k or any(edits(plain, x, k) <= k for x in tried):
+        return True
+    words = a.split(" ")
+    return len(words) > 3 and any(edits("".join(sorted(words)), x, k) <= k for x in tried)
+
+
 @F.pandas_udf(T.BooleanType())
 def _near(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([edits(x, y, k) <= k for x, y in zip(a, b) for k in (allowed(min(len(x), len(y))),)])
+    return pd.Series([near_heads(x, y) for x, y in zip(a, b)])
 
 
 def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -319,11 +417,12 @@ def link_names(names: DataFrame) -> DataFrame:
     than joining them. Names of the same kind only are linked.
     """
     distinct = names.where(F.col("raw").isNotNull() & (F.trim("raw") != "")).distinct()
-    parts = cut(distinct.mapInPandas(_apart, _PARTS).withColumn("node", F.xxhash64("kind", "form", "head", "rest")))
-    nodes = parts.select("node", "kind", "form", "head", "rest").distinct()
+    lexicon = learn(distinct)
+    parts = cut(distinct.mapInPandas(_apart(lexicon), _PARTS).withColumn("node", F.xxhash64("kind", "form", F.array_join(F.array_sort(F.split("head", " ")), " "), "rest")))
+    nodes = parts.groupBy("node", "kind", "form", "rest").agg(F.min("head").alias("head"))
 
     # 1. the pigeonhole join among full names with the same rest
-    full = nodes.where(F.col("form").isin("body", "person") & (F.length("head") >= 4))
+    full = nodes.where(F.col("form").isin("body", "person") & (F.length(F.replace("head", F.lit(" "), F.lit(""))) >= 4))
     keys = cut(full.mapInPandas(_keyed, "key string, node bigint, head string, indexed boolean"))
     index = keys.where("indexed").select("key", F.col("node").alias("a"), F.col("head").alias("ha"))
     probe = keys.where("not indexed").select("key", F.col("node").alias("b"), F.col("head").alias("hb"))

@@ -17,7 +17,8 @@ from tamarind.llm.pieces import split_documents
 from tamarind.session import table
 
 
-def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+def p1_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every spelling with the entity it names."""
     fields = [
         ("tenders_all", "procuring_entity", "authority"),
         ("tender_snapshots", "procuring_entity", "authority"),
@@ -26,7 +27,11 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("award_details_all", "name_of_contractor", "contractor"),
     ]
     names = [table(spark, sf_dir, t).select(F.lit(k).alias("kind"), F.col(c).alias("raw")).distinct() for t, c, k in fields]
-    return name_pairs(link_names(reduce(DataFrame.unionByName, names)))
+    return link_names(reduce(DataFrame.unionByName, names))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return name_pairs(p1_entities(spark, sf_dir))
 
 
 def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +107,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p5_found": p5_found, "p5_pieces": p5_pieces, "p7_found": p7_found, "p7_matches": p7_matches, "p8_found": p8_found, "p8_paraphrases": p8_paraphrases, "p9_mix": p9_mix, "p9_report": p9_report, "p10_found": p10_found, "p10_restored": p10_restored}
+    return {"p1_found": p1_found, "p1_entities": p1_entities, "p5_found": p5_found, "p5_pieces": p5_pieces, "p7_found": p7_found, "p7_matches": p7_matches, "p8_found": p8_found, "p8_paraphrases": p8_paraphrases, "p9_mix": p9_mix, "p9_report": p9_report, "p10_found": p10_found, "p10_restored": p10_restored}
 
 
 _P5_SQL = r"""

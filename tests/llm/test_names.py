@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -77,3 +79,28 @@ def test_pairs_and_empty(linked):
     pairs = name_pairs(link_names(linked)).collect()
     assert len(pairs) == 6 + 6 + 3 and all(r["name_a"] < r["name_b"] for r in pairs)
     assert name_pairs(link_names(linked.limit(0))).count() == 0
+
+
+def test_words_of_no_list(spark):
+    """Names of words that no list holds: typos, another order, abbreviations that the data explain."""
+    rng = random.Random(5)
+    word = lambda k: "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(k))
+    trades = ["wobblery", "quandling", "mizzenworks", "thrumbling", "vexillary", "plonkering"]
+    short = {t: t[0] + "".join(c for c in t[1:] if c not in "aeiou")[:3] for t in trades}
+    rows, entity = [], {}
+    for i in range(150):
+        a, b, t = word(4).title(), word(3).title(), trades[i % 6]
+        typo = a[:3] + rng.choice("bdfg") + a[4:]
+        forms = {f"{a} {b} {t} Ltd", f"{b} {a} {t} Limited", f"{typo} {b} {t}", f"{t}, {a} {b} Ltd", f"{a} {b} {short[t].title()}.", f"{b} {typo} {t} Ltd"}
+        rows += [("contractor", x) for x in forms]
+        entity.update(dict.fromkeys(forms, i))
+    linked = link_names(spark.createDataFrame(rows, "kind string, raw string"))
+    pairs = {(r["name_a"], r["name_b"]) for r in name_pairs(linked).collect()}
+    want = {(x, y) for x in entity for y in entity if x < y and entity[x] == entity[y]}
+    assert len(pairs & want) >= 0.95 * len(want) and len(pairs - want) <= 0.01 * len(want)
+
+
+def test_reordered_unlisted_words(spark):
+    rows = [("contractor", n) for n in ("Zorvex Quillan Beverages Ltd", "Quillan Zorvex Beverages Limited", "Zorvex Quilan Beverages Ltd", "Zorvex Mubbin Beverages Ltd")]
+    by = {r["raw"]: r["entity"] for r in link_names(spark.createDataFrame(rows, "kind string, raw string")).collect()}
+    assert len({by[n] for _, n in rows[:3]}) == 1 and by[rows[3][1]] != by[rows[0][1]]
