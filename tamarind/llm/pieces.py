@@ -2,8 +2,8 @@
 
 A text is parsed into a tree of spans: headings by level, then blocks between blank lines, then lines (list items and table
 rows among them), sentences, words and characters. A subtree that fits is never opened; an oversized one is opened one
-level down, and neighbouring spans that came out of it are merged again as long as they fit. Pieces are spans of the text
-and cover it without a gap; each but the first repeats the last ``overlap`` characters of the text before it, which count
+level down, and its children are merged as long as they fit, siblings with siblings only: the end of one section never runs into
+the next one's beginning. Pieces are spans of the text and cover it without a gap; each but the first repeats the last ``overlap`` characters of the text before it, which count
 towards the limit.
 
 Texts are handled one at a time in one pass without a shuffle, so memory follows the longest text and not the table.
@@ -17,14 +17,16 @@ from functools import reduce
 from operator import and_, or_
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamarind.session import spread
+from tamarind.session import broadcast_if_small, cut_table, spread
 
 #: The project's limit of a chunk, and the characters that each piece repeats.
 LIMIT = 26_000
 OVERLAP = 200
+#: Keys of repeated and of outdated rows that are sent to all tasks, at most; more are joined by shuffle.
+MOST_SENT = 200_000
 
 _HEADING = re.compile(r"(?m)^(#{1,6})[ \t]+\S.*$|^(\d{1,3}(?:\.\d{1,3})*)\.?[ \t]+[A-Z][^\n.]{0,80}$")
 # Where a span of each finer level ends.
@@ -53,26 +55,33 @@ def _sections(text: str, a: int, b: int, heads: list[tuple[int, int]]) -> list[t
     return [(x, y, [(p, lv) for p, lv in heads if x < p < y]) for x, y in zip(marks, marks[1:])]
 
 
-def _pack(spans: list[tuple[int, int]], room: int) -> list[tuple[int, int]]:
-    """Neighbours merged from left to right as long as they fit."""
-    out: list[tuple[int, int]] = []
-    for a, b in spans:
-        if out and b - out[-1][0] <= room:
-            out[-1] = (out[-1][0], b)
+def _pack(spans: list[tuple[int, int, bool]], room: int) -> list[tuple[int, int]]:
+    """Whole neighbours merged from left to right as long as they fit; what came out of an opened one stays by itself."""
+    out: list[tuple[int, int, bool]] = []
+    for a, b, whole in spans:
+        if whole and out and out[-1][2] and b - out[-1][0] <= room:
+            out[-1] = (out[-1][0], b, True)
         else:
-            out.append((a, b))
-    return out
+            out.append((a, b, whole))
+    return [(a, b) for a, b, _ in out]
 
 
 def _open(text: str, a: int, b: int, heads: list, level: int, room: int) -> list[tuple[int, int]]:
+    """The pieces of an oversized span: its children, siblings merged, each oversized one opened in turn."""
     if b - a <= room:
         return [(a, b)]
     children = _sections(text, a, b, heads)
     if len(children) > 1 or (children and children[0][2]):
-        return _pack([s for x, y, h in children for s in _open(text, x, y, h, level, room)], room)
-    if level >= len(_LEVELS):
+        below = [(x, y, h, level) for x, y, h in children]
+    elif level >= len(_LEVELS):
         return [(x, min(x + room, b)) for x in range(a, b, room)]
-    return _pack([s for x, y in _cut(text, a, b, _LEVELS[level]) for s in _open(text, x, y, [], level + 1, room)], room)
+    else:
+        below = [(x, y, [], level + 1) for x, y in _cut(text, a, b, _LEVELS[level])]
+    spans: list[tuple[int, int, bool]] = []
+    for x, y, h, lv in below:
+        whole = y - x <= room
+        spans += [(x, y, True)] if whole else [(p, q, False) for p, q in _open(text, x, y, h, lv, room)]
+    return _pack(spans, room)
 
 
 def split_text(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int]]:
@@ -128,11 +137,16 @@ def split_documents(
     if not plain:
         rows = rows.where(reduce(or_, [F.col(content)[a].isNotNull() for a in df.schema[content].dataType.fieldNames()]))
     if version:
-        same = [F.col(k).alias(n) for k, n in zip(keys, names)] + [F.col(version).alias("__v"), F.xxhash64(content).alias("__h")]
-        # only keys and digests are shuffled; of rows alike in both one is as good as another
-        newest = rows.select(*same).groupBy(*names).agg(F.max(F.struct("__v", "__h")).alias("__best")).select(*names, "__best.__v", "__best.__h")
-        match = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)] + [F.col(version).eqNullSafe(F.col("__v")), F.xxhash64(content) == F.col("__h")]
-        rows = rows.join(newest, reduce(and_, match), "left_semi")
+        # keys alone tell which are repeated; only the rows of these are weighed by digest, and only what is outdated is taken out,
+        # so no text is moved unless the outdated rows are too many to be sent to all
+        own = [F.col(k).alias(n) for k, n in zip(keys, names)]
+        repeated = cut_table(rows.groupBy(*own).agg(F.count("*").alias("__n")).where("__n > 1").select(*names))
+        same = lambda: reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+        versions = rows.join(broadcast_if_small(repeated, MOST_SENT), same()).select(*names, F.col(version).alias("__v"), F.xxhash64(content).alias("__h"))
+        best = F.max(F.struct("__v", "__h")).over(Window.partitionBy(*names))
+        outdated = cut_table(versions.withColumn("__best", best).where(~F.struct("__v", "__h").eqNullSafe(F.col("__best"))).select(*names, "__v", "__h").distinct())
+        match = same() & F.col(version).eqNullSafe(F.col("__v")) & (F.xxhash64(content) == F.col("__h"))
+        rows = rows.join(broadcast_if_small(outdated, MOST_SENT), match, "left_anti")
     rows = spread(rows.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(content).alias("__text")))
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -54,6 +54,16 @@ def test_arms(spark):
     assert got == {1: "a\n\nb", 2: "p\n\nx | y\n\nq", 3: "s\n\nt", 4: "m"}
 
 
+def test_sections_do_not_run_into_each_other():
+    """The end of an oversized section stays by itself, whole siblings are merged."""
+    text = "# A\n" + "word " * 30 + "\n# B\nshort\n# C\nshort too\n# D\n" + "other " * 30
+    spans = pieces.split_text(text, 60, 0)
+    assert "".join(text[a:b] for a, b in spans) == text and all(b - a <= 60 for a, b in spans)
+    starts = {text.index(h) for h in ("# A", "# B", "# D")}
+    assert starts <= {a for a, _ in spans}
+    assert any(text[a:b] == "# B\nshort\n# C\nshort too\n" for a, b in spans)
+
+
 # --- leaks --------------------------------------------------------------------------------------------------------------
 
 
