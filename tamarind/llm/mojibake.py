@@ -13,11 +13,14 @@ everything else runs over all documents in one pass without a shuffle.
 from __future__ import annotations
 
 import re
+import unicodedata
+import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarind.session import spread
@@ -25,7 +28,8 @@ from tamarind.session import spread
 #: The bound of the sample that the dictionaries are fitted on.
 DICT_DOCS = 200
 DICT_BYTES = 48_000
-LANGUAGES = ("en", "es", "fr", "pt", "zh")
+#: Documents, and the share of all labelled ones, that a label needs to count as a language.
+DICT_LEAST, DICT_SHARE = 5, 0.001
 
 #: Chains of wrong decodings, undone from left to right: text in the one encoding, bytes in the other. The cost is in bytes
 #: of description; chains that fit honest text by chance cost more.
@@ -62,18 +66,31 @@ def _to_bytes(text: str, encoding: str) -> bytes:
     return bytes(out)
 
 
-def _likely(text: str) -> bool:
-    """Whether all signs are of scripts and symbols that such texts are written in."""
-    for c in text:
-        o = ord(c)
-        if o < 0x80:
-            continue
-        if not (
-            0xA0 <= o <= 0x24F or 0x370 <= o <= 0x4FF or 0x1E00 <= o <= 0x1EFF or 0x2010 <= o <= 0x206F or 0x20A0 <= o <= 0x20BF
-            or 0x2100 <= o <= 0x22FF or 0x3000 <= o <= 0x30FF or 0x4E00 <= o <= 0x9FFF or 0xFF00 <= o <= 0xFFEF or 0x80 <= o <= 0x9F
-        ):
-            return False
-    return True
+@lru_cache(100_000)
+def _written(sign: str) -> bool:
+    """Whether texts are written with that sign: any letter, mark, figure or symbol of any script, but no control or unassigned one."""
+    return sign == "\n" or unicodedata.category(sign) not in ("Cc", "Cn", "Co", "Cs")
+
+
+#: Bytes that a script costs which neither the languages here nor the sentence have: without it a pair of honest signs that by
+#: chance are one sign of a rare script would look shorter than they are.
+NEW_SCRIPT = 3.0
+
+
+@lru_cache(100_000)
+def _rare_script(sign: str) -> str:
+    """The script of a sign that is none of the common letters and symbols here, else ''."""
+    o = ord(sign)
+    if (
+        o < 0x250 or 0x370 <= o <= 0x4FF or 0x1E00 <= o <= 0x1EFF or 0x2010 <= o <= 0x206F or 0x20A0 <= o <= 0x20BF
+        or 0x2100 <= o <= 0x22FF or 0x3000 <= o <= 0x30FF or 0x4E00 <= o <= 0x9FFF or 0xFF00 <= o <= 0xFFEF
+    ):
+        return ""
+    return "symbol" if unicodedata.category(sign).startswith("S") else unicodedata.name(sign, "?").split(" ")[0]
+
+
+def _new_scripts(now: str, before: str) -> int:
+    return len({s for c in set(now) if (s := _rare_script(c))} - {_rare_script(c) for c in set(before)})
 
 
 def _undo_run(run: str, source: str, target: str) -> str | None:
@@ -84,6 +101,33 @@ def _undo_run(run: str, source: str, target: str) -> str | None:
     return back if back != run else None
 
 
+@lru_cache(200_000)
+def _undo_steps(run: str, steps: tuple[tuple[str, str], ...]) -> str | None:
+    """A run with all steps undone; None if they cannot have made it. Texts repeat few runs, so the answers are kept."""
+    now = run
+    for source, target in steps:
+        back = "".join(_undo_run(x, source, target) or x if not x.isascii() else x for x in re.split(r"([^\x00-\x7f]+)", now))
+        if back == now:
+            return None
+        now = back
+    return now if all(map(_written, now)) else None
+
+
+@lru_cache(200_000)
+def _admits(run: str, chain: str) -> bool:
+    """Whether a chain can have made a run, alone or with what stands around it."""
+    (source, target), *more = CHAINS[chain][0]
+    if target == "utf-8":
+        return _undo_steps(run, tuple(CHAINS[chain][0])) is not None
+    if source == "cp1251":
+        return any("\u0400" <= c <= "\u04ff" for c in run)
+    try:
+        run.encode("latin-1" if source == "cp1252" else source, "strict" if source != "cp1252" else "ignore")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def undo(text: str, steps: list[tuple[str, str]]) -> str | None:
     """``text`` with each run that the chain can have made undone; None if there is none such."""
     first = steps[0]
@@ -93,23 +137,8 @@ def undo(text: str, steps: list[tuple[str, str]]) -> str | None:
         return _undo_cyrillic(text)
     if first == ("mac_roman", "cp1252"):
         return _undo_letters(text, *first)
-    changed = False
-
-    def one(m: re.Match) -> str:
-        nonlocal changed
-        now = m.group()
-        for source, target in steps:
-            back = "".join(_undo_run(x, source, target) or x if not x.isascii() else x for x in re.split(r"([^\x00-\x7f]+)", now))
-            if back == now:
-                return m.group()
-            now = back
-        if not _likely(now) or any("\x80" <= c <= "\x9f" for c in now):
-            return m.group()
-        changed = True
-        return now
-
-    out = _RUN.sub(one, text)
-    return out if changed else None
+    back = _RUN.sub(lambda m: _undo_steps(m.group(), tuple(steps)) or m.group(), text)
+    return back if back != text else None
 
 
 def _undo_wide(text: str, source: str, target: str) -> str | None:
@@ -192,13 +221,16 @@ def restore(text: str, describer: Describer) -> tuple[str, list[str]]:
             continue
         best, best_chain = part, ""
         least = None
+        runs = set(_RUN.findall(part))
         for name, (steps, price) in CHAINS.items():
+            if not any(_admits(r, name) for r in runs):
+                continue
             now = undo(part, steps)
             if now is None:
                 continue
             if least is None:
                 least = float(describer.cost(part))
-            cost = describer.cost(now) + price
+            cost = describer.cost(now) + price + NEW_SCRIPT * _new_scripts(now, part)
             if cost < least:
                 best, best_chain, least = now, name, cost
         if best_chain:
@@ -221,19 +253,35 @@ def _honest(sentence: str) -> bool:
     return True
 
 
-def fit_dictionaries(docs: DataFrame, text: str, lang: str, languages: tuple[str, ...] = LANGUAGES) -> dict[str, bytes]:
-    """A dictionary a language from at most ``DICT_DOCS`` labelled documents each, of honest sentences only."""
+def fit_dictionaries(docs: DataFrame, text: str, lang: str, languages: tuple[str, ...] | None = None) -> dict[str, bytes]:
+    """A dictionary for each language of the data from at most ``DICT_DOCS`` labelled documents each, of honest sentences only.
+
+    The documents are those with the least hash of their text, so the sample does not depend on the order of rows, and whole
+    sentences are taken in the order of their hashes up to ``DICT_BYTES``. A label that fewer than ``DICT_LEAST`` documents, or a
+    smaller share than ``DICT_SHARE`` of all, have is no language here, so the driver holds at most 1 / DICT_SHARE dictionaries.
+    """
+    known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("l"), F.col(text).alias("t"), F.xxhash64(text).alias("h"))
+    if languages is None:
+        counts = known.groupBy("l").agg(F.count("*").alias("n"), F.countDistinct("h").alias("d"))
+        rows = counts.collect() if counts.limit(100_001).count() <= 100_000 else counts.where(F.col("n") >= DICT_LEAST).limit(100_000).collect()
+        total = sum(r["n"] for r in rows)
+        languages = tuple(sorted(r["l"] for r in rows if r["d"] >= DICT_LEAST and r["n"] >= DICT_SHARE * total)) or tuple(sorted(r["l"] for r in rows))[:10]
+    place = F.row_number().over(Window.partitionBy("l").orderBy("h", "t"))
+    sample = known.where(F.col("l").isin(*languages)) if languages else known.limit(0)
+    kept: dict[str, dict[str, None]] = {}
+    for r in sample.withColumn("n", place).where(F.col("n") <= DICT_DOCS).select("l", "t").collect():
+        for s in _SENTENCE.split(r["t"]):
+            if _honest(s):
+                kept.setdefault(r["l"], {})[s] = None
     out = {}
-    for language in languages:
-        rows = docs.where((F.col(lang) == language) & F.col(text).isNotNull()).select(F.col(text).alias("t")).limit(DICT_DOCS).collect()
-        kept: dict[str, None] = {}
-        for r in rows:
-            for s in _SENTENCE.split(r["t"]):
-                if _honest(s):
-                    kept[s] = None
-        data = "\n".join(sorted(kept)).encode("utf-8", "ignore")
+    for language in sorted(kept):
+        data = b""
+        for s in sorted(kept[language], key=lambda s: (zlib.crc32(s.encode("utf-8", "ignore")), s)):
+            more = s.encode("utf-8", "ignore") + b"\n"
+            if len(data) + len(more) <= DICT_BYTES:
+                data += more
         if data:
-            out[language] = data[:DICT_BYTES]
+            out[language] = data
     return out
 
 

@@ -234,3 +234,20 @@ def test_restore_texts(spark):
     got = [(r["k"], r["restored"]) for r in mojibake.restore_texts(df, "k", "restored", "lang").collect()]
     assert got == [(1, "el máximo según el presupuesto")] * 2
     assert mojibake.restore_texts(df.limit(0), "k", "restored", "lang").count() == 0
+
+
+def test_scripts_of_no_list(spark):
+    """Signs of scripts that the dictionaries lack are restored as well; honest pairs that could be one such sign stay."""
+    d = mojibake.Describer({"x": "\n".join(HONEST).encode()})
+    for honest in ("Оплата 😀 done", "다음 문서를 보내 주세요", "يرجى إرسال الوثائق"):
+        wrong = mojibake._RUN.sub(lambda m: "".join(chr(b) if b in mojibake._CP1252_GAPS else bytes([b]).decode("cp1252") for b in m.group().encode()), honest)
+        assert mojibake.restore(wrong, d)[0] == honest
+    assert mojibake.restore("L’âge du contrat", d) == ("L’âge du contrat", [])
+
+
+def test_dictionaries_of_all_languages(spark):
+    rows = [(f"texte numéro {i} déjà signé.", "fr") for i in range(20)] + [(f"tekst nr {i} został podpisany.", "pl") for i in range(20)] + [("x", "zz"), (None, "fr"), ("y", None)]
+    df = spark.createDataFrame(rows, "t string, l string")
+    found = mojibake.fit_dictionaries(df, "t", "l")
+    assert sorted(found) == ["fr", "pl"] and mojibake.fit_dictionaries(df.orderBy(F.rand(1)), "t", "l") == found
+    assert mojibake.fit_dictionaries(df.limit(0), "t", "l") == {}
