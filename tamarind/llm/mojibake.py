@@ -74,7 +74,7 @@ def _written(sign: str) -> bool:
 
 #: Bytes that a script costs which neither the languages here nor the sentence have: without it a pair of honest signs that by
 #: chance are one sign of a rare script would look shorter than they are.
-NEW_SCRIPT = 3.0
+NEW_SCRIPT = 4.0
 
 
 @lru_cache(100_000)
