@@ -173,6 +173,13 @@ def iso_instant(text: Column) -> Column:
     return F.when(text.rlike(_ISO), zoned.try_cast("timestamp"))
 
 
+def listing_instant(text: Column) -> Column:
+    """ISO with an offset, else day-first local time with or without its 'UTC-5', as an instant; null for all other text."""
+    raw = F.trim(text)
+    iso = F.when(raw.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})$"), raw.try_cast("timestamp"))
+    return F.coalesce(iso, local_to_utc(F.regexp_replace(F.regexp_replace(text, _SPACE, " "), r"\s*UTC-5\s*$", "")))
+
+
 def award_instant(text: Column) -> Column:
     """``struct<value, raw>``: a day-first date and time within a text as ISO in UTC, else the text itself; white space is one blank."""
     raw = F.nullif(F.trim(F.regexp_replace(text, _SPACE, " ")), F.lit(""))

@@ -222,13 +222,13 @@ def _(spark, d):
 
 
 # fixed values: what an address holds, and the kind of action it stands for
-_ACTIONS = [("prepareViewCfTWS", "view"), ("viewNotice", "notice"), ("/contract", "contract")]
+_ACTIONS = [("listClarification.do", "list_clarification"), ("prepareViewCfTWS.do", "prepare_view"), ("viewETenders.do", "view_etenders")]
 
 
-@query("h18_action_url", r"SELECT id, u AS url, CASE " + " ".join(f"WHEN contains(u, '{p}') THEN '{k}'" for p, k in _ACTIONS) + r" END AS kind FROM (SELECT id, nullif(regexp_replace(regexp_extract('See ' || coalesce(contract_url, 'nothing') || '. Thanks', '(https?://[^\s<>\x{22}\x{27})]+)', 1), '\.+$', ''), '') AS u FROM awards_all)")
+@query("h18_action_url", r"SELECT id, u AS url, CASE " + " ".join(f"WHEN contains(u, '{p}') THEN '{k}'" for p, k in _ACTIONS) + r" END AS kind FROM (SELECT id, nullif(regexp_replace(regexp_extract('See https://tenders.invalid' || coalesce(title_url, '') || '. Thanks', '(https?://[^\s<>\x{22}\x{27})]+)', 1), '\.+$', ''), '') AS u FROM tenders_all)")
 def _(spark, d):
-    body = F.concat(F.lit("See "), F.coalesce("contract_url", F.lit("nothing")), F.lit(". Thanks"))
-    return table(spark, d, "awards_all").select("id", S.action_url(body, _ACTIONS).alias("a")).select("id", "a.url", "a.kind")
+    body = F.concat(F.lit("See https://tenders.invalid"), F.coalesce("title_url", F.lit("")), F.lit(". Thanks"))
+    return table(spark, d, "tenders_all").select("id", S.action_url(body, _ACTIONS).alias("a")).select("id", "a.url", "a.kind")
 
 
 @query("u6_told_items", "WITH x AS (SELECT id, unnest(string_split(coalesce(cpv_codes, ''), ',') || [coalesce(funding_source, 'None given'), upper(coalesce(funding_source, '')), 'N/A']) AS v, generate_subscripts(string_split(coalesce(cpv_codes, ''), ',') || ['', '', ''], 1) AS i FROM tenders_all), k AS (SELECT id, trim(v) AS v, i FROM x WHERE v <> '' AND NOT regexp_matches(lower(trim(v)), '^(" + "|".join(S.NOISE) + ")')), f AS (SELECT id, v, i FROM k QUALIFY row_number() OVER (PARTITION BY id, lower(v) ORDER BY i) = 1), n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY i) AS r FROM f) SELECT t.id, coalesce(string_agg(v, ';' ORDER BY i) FILTER (r <= 40), '') AS items FROM tenders_all t LEFT JOIN n USING (id) GROUP BY 1")
@@ -331,3 +331,158 @@ def _(spark, d):
     rows = spark.readStream.schema("event_id bigint, ts timestamp_ntz, event_type string").parquet(f"{d}/events.parquet*").withColumn("at", F.col("ts").cast("timestamp"))
     counts = ingest.windowed_counts(rows, "at", "1 day", "event_type", lateness="3650 days")
     return ingest.final_counts(counts, at).select(F.unix_micros("start").alias("start_micros"), "event_type", "n")
+
+
+# --- values ------------------------------------------------------------------------------------------------------------------------
+@query("h13_iso_or_raw", f"SELECT id, CASE WHEN {_iso('award_date_raw')} IS NULL THEN award_date_raw ELSE strftime({_iso('award_date_raw')} AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%S+00:00') END AS value FROM awards_all")
+def _(spark, d):
+    """ISO dates in UTC, those without an offset taken as UTC; all other text as it is."""
+    at = S.iso_instant(F.col("award_date_raw"))
+    return table(spark, d, "awards_all").select("id", F.coalesce(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'+00:00'"), "award_date_raw").alias("value"))
+
+
+_LOCAL = r"nullif(trim(regexp_replace(regexp_replace(submission_deadline, '[\s\x{a0}]+', ' ', 'g'), '\s*UTC-5\s*$', '')), '')"
+
+
+@query("h4_listing_timestamps", f"WITH t AS (SELECT id, trim(submission_deadline) AS r, {_LOCAL} AS v FROM tenders_all) SELECT id, epoch_us(CASE WHEN regexp_matches(r, '^\\d{{4}}-\\d{{2}}-\\d{{2}}T\\d{{2}}:\\d{{2}}(:\\d{{2}}(\\.\\d{{1,6}})?)?(Z|[+-]\\d{{2}}:\\d{{2}})$') THEN TRY_CAST(r AS TIMESTAMPTZ) WHEN regexp_matches(v, '^\\d{{1,2}}/\\d{{1,2}}/\\d{{4}} \\d{{1,2}}:\\d{{2}}(:\\d{{2}})?$') THEN (coalesce(try_strptime(v, '%d/%m/%Y %H:%M:%S'), try_strptime(v, '%d/%m/%Y %H:%M')) + INTERVAL 5 HOUR) AT TIME ZONE 'UTC' END) AS utc_micros FROM t")
+def _(spark, d):
+    return table(spark, d, "tenders_all").select("id", F.unix_micros(S.listing_instant(F.col("submission_deadline"))).alias("utc_micros"))
+
+
+# fixed values: what a subject holds, in the order in which it is looked for, and the update it announces
+_SUBJECTS = [
+    ("clarification response", "clarification_response"), ("modifications?", "modifications"), ("request for clarifications? end", "clarification_period_end"),
+    ("time limit for receipt", "time_limit"), ("extension", "deadline_extension"), ("cancell?(ation|ed|led)", "cancellation"), ("addendum", "addendum"),
+    ("site visit", "site_visit"), ("bidders? conference", "site_visit"), (r"\bdocuments?\b", "new_documents"),
+]
+# fixed values: updates that only inform
+_INFORM = ["clarification_period_end", "time_limit"]
+_TYPED = "CASE " + " ".join(f"WHEN regexp_matches(lower(s), '{p}') THEN '{t}'" for p, t in _SUBJECTS) + " ELSE 'other' END"
+
+
+@query("h17_pj10_update_types", f"SELECT id, {_TYPED} AS update_type, ({_TYPED}) NOT IN ('clarification_period_end', 'time_limit') AS requires_action FROM (SELECT id, concat_ws(' ', title, status, submission_deadline, detailed_description) AS s FROM tenders_all)")
+def _(spark, d):
+    """The kind of update that a text announces, and whether something must follow from it."""
+    t = table(spark, d, "tenders_all").select("id", S.first_rule(F.concat_ws(" ", "title", "status", "submission_deadline", "detailed_description"), _SUBJECTS, "other").alias("update_type"))
+    return t.select("id", "update_type", (~F.col("update_type").isin(_INFORM)).alias("requires_action"))
+
+
+@query("h20_title_in_body", r"SELECT id, nullif(trim(regexp_extract('Update on the competition titled: ' || coalesce(title, '') || '. It is open.', '(?i)competition titled[:\s]+([^\n.]+)', 1)), '') AS named FROM tenders_all WHERE trim(title) <> '' AND title NOT LIKE '.%'")
+def _(spark, d):
+    t = table(spark, d, "tenders_all").where("trim(title) <> '' and title not like '.%'")
+    body = F.concat(F.lit("Update on the competition titled: "), F.coalesce("title", F.lit("")), F.lit(". It is open."))
+    return t.select("id", F.nullif(F.trim(F.regexp_extract(body, r"(?i)competition titled[:\s]+([^\n.]+)", 1)), F.lit("")).alias("named"))
+
+
+# --- projections and tests -----------------------------------------------------------------------------------------------------------
+@query("pj2_published_preferred", f"SELECT id, epoch_us(coalesce({_iso('publication_date')}, {_iso('submission_deadline')})) AS parsed_micros FROM tenders_all WHERE resource_id IS NOT NULL")
+def _(spark, d):
+    """The parsed date is that of the preferred field where it can be read, else that of the other."""
+    t = table(spark, d, "tenders_all").where("resource_id is not null")
+    return t.select("id", F.unix_micros(F.coalesce(S.iso_instant(F.col("publication_date")), S.iso_instant(F.col("submission_deadline")))).alias("parsed_micros"))
+
+
+_PATCH = ["title", "procuring_entity", "procurement_type", "funding_source", "project_reference_number"]
+
+
+@query("pj3_patch_without_nulls", "SELECT id, array_to_string(list_filter([" + ", ".join(f"CASE WHEN {c} IS NOT NULL THEN '{c}' END" for c in _PATCH) + ", 'cpv_codes'], lambda x: x IS NOT NULL), ',') AS patched, len(list_filter(list_transform(string_split(coalesce(cpv_codes, ''), ','), lambda x: trim(x)), lambda x: x <> '')) AS codes FROM tenders_all")
+def _(spark, d):
+    """The fields a patch sets: nulls are taken out, empty lists stay."""
+    t = table(spark, d, "tenders_all").withColumn("cpv_codes", S.to_list(F.col("cpv_codes")))
+    names = F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.lit(c)) for c in (*_PATCH, "cpv_codes")]))
+    return t.select("id", F.array_join(names, ",").alias("patched"), F.size("cpv_codes").cast("bigint").alias("codes"))
+
+
+@query("pj5_award_defaults", "SELECT id, coalesce(title, '') AS title, coalesce(procurement_method, 'Unknown') AS procurement_method, coalesce(TRY_CAST(row_no AS INT), 0) AS row_no, coalesce(contract_amount, 0.0) AS contract_amount, coalesce(pdf_resource_id, '') AS pdf_resource_id FROM awards_all")
+def _(spark, d):
+    a = table(spark, d, "awards_all")
+    return a.select(
+        "id", F.coalesce("title", F.lit("")).alias("title"), F.coalesce("procurement_method", F.lit("Unknown")).alias("procurement_method"),
+        F.coalesce(F.col("row_no").try_cast("int"), F.lit(0)).alias("row_no"), F.coalesce("contract_amount", F.lit(0.0)).alias("contract_amount"),
+        F.coalesce("pdf_resource_id", F.lit("")).alias("pdf_resource_id"),
+    )
+
+
+_LATEST = "SELECT competition_unique_id AS k, max(struct_pack(t := extraction_timestamp, title := coalesce(title, ''), entity := coalesce(procuring_entity, ''), dl := coalesce(submission_deadline, ''))) AS r FROM tender_snapshots WHERE competition_unique_id IS NOT NULL GROUP BY 1"
+
+
+@query("pj6_summary_of_two", f"SELECT id, coalesce(nullif(title, ''), nullif(r.title, ''), 'Untitled') AS title, coalesce(nullif(procuring_entity, ''), nullif(r.entity, '')) AS procuring_entity, coalesce(nullif(submission_deadline, ''), nullif(r.dl, '')) AS submission_deadline, r IS NOT NULL AS has_analysis, CASE WHEN {_iso('submission_deadline')} IS NOT NULL THEN greatest(0, floor((epoch_us({_iso('submission_deadline')}) - epoch_us(TIMESTAMPTZ '{NOW}')) / 86400000000))::BIGINT END AS days_remaining FROM tenders_all LEFT JOIN ({_LATEST}) ON competition_unique_id = k")
+def _(spark, d):
+    """The summary of a record and its enrichment: the record's value, else the enrichment's, else a default; days are never negative."""
+    s = table(spark, d, "tender_snapshots").where("competition_unique_id is not null")
+    fields = [F.coalesce(c, F.lit("")).alias(n) for c, n in (("title", "rt"), ("procuring_entity", "re"), ("submission_deadline", "rd"))]
+    one = s.groupBy("competition_unique_id").agg(F.max(F.struct("extraction_timestamp", *fields)).alias("r"))
+    j = table(spark, d, "tenders_all").join(one, "competition_unique_id", "left")
+    pick = lambda a, b: F.coalesce(F.nullif(F.col(a), F.lit("")), F.nullif(F.col(f"r.{b}"), F.lit("")))
+    days = S.floor_days(S.iso_instant(F.col("submission_deadline")), F.lit(NOW).cast("timestamp"))
+    return j.select(
+        "id", F.coalesce(pick("title", "rt"), F.lit("Untitled")).alias("title"), pick("procuring_entity", "re").alias("procuring_entity"),
+        pick("submission_deadline", "rd").alias("submission_deadline"), F.col("r").isNotNull().alias("has_analysis"), F.when(days.isNotNull(), F.greatest(days, F.lit(0))).cast("bigint").alias("days_remaining"),
+    )
+
+
+@query("pj9_prefix_and_back", "SELECT id, title, status FROM tenders_all")
+def _(spark, d):
+    """Columns under a prefix, as one record holds another's, and out of it again."""
+    t = table(spark, d, "tenders_all").select("id", "title", "status")
+    there = t.select(*[F.col(c).alias(f"db_{c}") for c in t.columns], F.lit(1).alias("own"))
+    return there.select(*[F.col(c).alias(c.removeprefix("db_")) for c in there.columns if c.startswith("db_")])
+
+
+@query("b23_pending_five_tests", "WITH f AS (SELECT tender_folder AS folder, count(*) FILTER (text IS NOT NULL AND trim(text) <> '') AS n, max(published_on) AS last FROM documents WHERE tender_folder IS NOT NULL GROUP BY 1), a AS (SELECT DISTINCT replace(competition_unique_id, '/', '_') AS folder FROM tender_snapshots WHERE competition_unique_id IS NOT NULL), x AS (SELECT DISTINCT replace(competition_unique_id, '/', '_') AS folder FROM tenders_all WHERE lower(trim(status)) = 'cancelled'), e AS (SELECT DISTINCT replace(competition_unique_id, '/', '_') AS folder FROM tenders_all WHERE lower(trim(status)) = 'evaluation') SELECT folder, CASE WHEN last < DATE '2021-06-01' THEN n > 0 WHEN e.folder IS NOT NULL THEN false WHEN x.folder IS NOT NULL THEN false WHEN n = 0 THEN false ELSE a.folder IS NULL END AS pending FROM f LEFT JOIN a USING (folder) LEFT JOIN x USING (folder) LEFT JOIN e USING (folder)")
+def _(spark, d):
+    """Five tests in order: a stale folder counts if it has documents at all; else it must be neither done, nor failed, nor empty, nor known."""
+    docs = table(spark, d, "documents").where("tender_folder is not null").groupBy(F.col("tender_folder").alias("folder"))
+    f = docs.agg(F.count_if(F.trim("text") != "").alias("n"), F.max("published_on").alias("last"))
+    named = lambda t, w, m: table(spark, d, t).where(w).select(F.replace("competition_unique_id", F.lit("/"), F.lit("_")).alias("folder"), F.lit(True).alias(m)).distinct()
+    j = f.join(named("tender_snapshots", "competition_unique_id is not null", "known"), "folder", "left")
+    j = j.join(named("tenders_all", "lower(trim(status)) = 'cancelled'", "failed"), "folder", "left").join(named("tenders_all", "lower(trim(status)) = 'evaluation'", "done"), "folder", "left")
+    pending = F.when(F.col("last") < F.lit("2021-06-01").cast("date"), F.col("n") > 0).when(F.col("done"), False).when(F.col("failed"), False).when(F.col("n") == 0, False).otherwise(F.col("known").isNull())
+    return j.select("folder", pending.alias("pending"))
+
+
+_MINOR = ["submission_deadline", "publication_date"]  # fixed values: fields whose change asks for nothing
+_WATCHED = ["title", "status", "submission_deadline", "publication_date"]
+_DIFF = "list_filter([" + ", ".join(f"CASE WHEN n.{c} <> o.{c} THEN '{c}' END" for c in _WATCHED) + "], lambda x: x IS NOT NULL)"
+
+
+@query("b27_substantive_changes", "WITH s AS (SELECT snapshot_date AS snap, resource_id, " + ", ".join(f"max(coalesce({c}, '')) AS {c}" for c in _WATCHED) + f" FROM tender_snapshots WHERE resource_id IS NOT NULL GROUP BY 1, 2), o AS (SELECT * FROM s WHERE snap = (SELECT min(snap) FROM s)), n AS (SELECT * FROM s WHERE snap = (SELECT max(snap) FROM s)) SELECT resource_id, len({_DIFF}) AS changed, len(list_filter({_DIFF}, lambda x: x NOT IN ('submission_deadline', 'publication_date'))) > 0 AS substantive FROM o JOIN n USING (resource_id) WHERE len({_DIFF}) > 0")
+def _(spark, d):
+    """What changed between the first and the last snapshot, and whether more than the minor fields did."""
+    snaps = table(spark, d, "tender_snapshots").where("resource_id is not null")
+    rows = snaps.groupBy(F.col("snapshot_date").alias("snap"), "resource_id").agg(*[F.max(F.coalesce(c, F.lit(""))).alias(c) for c in _WATCHED])
+    ends = snaps.agg(F.min("snapshot_date").alias("first"), F.max("snapshot_date").alias("last"))  # one row
+    both = rows.join(F.broadcast(ends), (F.col("snap") == F.col("first")) | (F.col("snap") == F.col("last")))
+    j = both.where("snap = first").alias("o").join(both.where("snap = last").alias("n"), "resource_id")
+    changed = R.changed_fields("o", "n", _WATCHED)
+    out = j.select("resource_id", changed.alias("c")).where(F.size("c") > 0)
+    return out.select("resource_id", F.size("c").cast("bigint").alias("changed"), (F.size(F.array_except("c", F.array(*[F.lit(m) for m in _MINOR]))) > 0).alias("substantive"))
+
+
+@query("b21_open_work", "SELECT tender_resource_id, source_file, CASE WHEN extraction_status IS NULL THEN 'not begun' WHEN extraction_status = 'pending' THEN 'pending' WHEN extraction_status = 'completed' AND content IS NULL THEN 'left over' WHEN extraction_status = 'failed' THEN 'failed' END AS work FROM extracted_documents WHERE extraction_status IS NULL OR extraction_status IN ('pending', 'failed') OR (extraction_status = 'completed' AND content IS NULL)")
+def _(spark, d):
+    """Four tests of what is still to be done: not begun, pending, completed without content, failed."""
+    s = F.col("extraction_status")
+    work = F.when(s.isNull(), "not begun").when(s == "pending", "pending").when((s == "completed") & F.col("content").isNull(), "left over").when(s == "failed", "failed")
+    return table(spark, d, "extracted_documents").select("tender_resource_id", "source_file", work.alias("work")).where("work is not null")
+
+
+def _safe(c):  # noqa: ANN001, ANN202
+    return F.replace(F.replace(F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+@query("a11_typed_awards", "SELECT id, " + ", ".join(f"nullif({_CELL.format(c)}, '') AS {c}" for c in ("procurement_method", "procuring_entity", "title", "contract_amount_raw", "award_date_raw")) + " FROM awards_all")
+def _(spark, d):
+    """Award pages written out as HTML tables, and read again as typed rows."""
+    cells = [F.concat(F.lit("<td>"), _safe(c), F.lit("</td>")) for c in ("row_no", "procurement_method", "procuring_entity", "title", "contract_amount_raw", "award_date_raw")]
+    pages = table(spark, d, "awards_all").select("id", F.concat(F.lit("<table><tr>"), *cells, F.lit("</tr></table>")).alias("html"))
+    return landing.award_listing(pages, "id", "html").select("id", "procurement_method", "procuring_entity", "title", "contract_amount_raw", "award_date_raw")
+
+
+@query("a12_field_map", "SELECT id, " + ", ".join(f"nullif({_CELL.format(c)}, '') AS {c}" for c in ("title", "procuring_entity", "funding_source")) + " FROM tenders_all")
+def _(spark, d):
+    """Detail pages written out as definition lists, and read again as a map of fields."""
+    pairs = [F.concat(F.lit(f"<dt>{label}:</dt><dd>"), _safe(c), F.lit("</dd>")) for label, c in (("Title", "title"), ("Procuring Entity", "procuring_entity"), ("Funding source", "funding_source"))]
+    pages = table(spark, d, "tenders_all").select("id", F.concat(F.lit("<dl>"), *pairs, F.lit("</dl>")).alias("html"))
+    got = landing.field_map(pages, "id", "html")
+    return got.select("id", *[F.get(F.col("fields")[c], F.lit(0)).alias(c) for c in ("title", "procuring_entity", "funding_source")])
