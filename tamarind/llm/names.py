@@ -1,15 +1,16 @@
 """Variant spellings of names typed by people, linked by a pigeonhole segment join.
 
 A name is first taken apart: titles, legal forms and articles go, abbreviations and misspelt common words are read as the
-common word they stand for, and what is left is a *head* (the words only this entity has), a *rest* (the common words, as a
-set, so their order is free) and, for people, a given name and a middle initial. Two names with the same rest are the same
+common word they stand for, and what is left is a *head* (the words only this entity has, in any order), a *rest* (the common
+words, as a set) and, for people, a given name and a middle initial. Common words and abbreviations are learnt from the names
+themselves, beside short lists of general ones. Two names with the same rest are the same
 entity if their heads differ by few edits. To find these pairs a head is cut into k+1 segments: with at most k edits one
 segment stays whole and only moves by up to k places. Every name puts its segments in an inverted index and looks up its
 own substrings, shifted; what meets is verified by banded edit distance. Index keys hold the rest as well, which keeps
 lists short where a common word is shared by a third of all names.
 
 Names are made distinct first, with map-side combine, so a name that holds a third of the rows costs one row. Links
-become entities by hash-to-min over checkpointed tables; nothing is collected.
+become entities by hash-to-min over checkpointed tables; no name or link is collected, only the words learnt.
 """
 
 from __future__ import annotations
@@ -83,8 +84,9 @@ for _full, _shorts in GIVEN.items():
 COMMON_PARTNERS, COMMON_SHARE = 24, 0.0005
 #: Partners that occur in fewer distinct names are misspellings, most likely, and do not count.
 PARTNER_NAMES = 3
-#: Share of an abbreviation's names that must also be there with the word it stands for.
-SHORT_SHARE = 0.1
+#: Share of an abbreviation's names that must also be there with the word it stands for, and the share of all distinct names that
+#: an abbreviation must have: so there are at most as many as words a name times 1 / SHORT_LEAST.
+SHORT_SHARE, SHORT_LEAST = 0.1, 0.00005
 
 
 def edits(a: str, b: str, most: int) -> int:
@@ -324,8 +326,7 @@ def learn(distinct: DataFrame) -> tuple[frozenset[str], dict[str, str]]:
 
     A common word stands beside many different words. A shorter word that is one with letters left out is its abbreviation if
     both complete the same name: without them what is left of two names is the same. An abbreviation that so stands for several
-    words stands for the one with more such names. What comes to the driver is bounded by ``COMMON_SHARE`` and, for the abbreviations, by
-    the words that share a first letter with, and are made of the letters of, a common word.
+    words stands for the one with more such names. What comes to the driver is bounded by ``COMMON_SHARE`` and ``SHORT_LEAST``.
     """
     bare = F.regexp_replace(F.regexp_replace(F.lower("raw"), r"['\u2019`.]", ""), "[^a-z0-9]+", " ")
     words = F.array_sort(F.array_distinct(F.filter(F.split(F.trim(bare), " "), lambda w: (F.length(w) > 1) & ~w.isin(sorted(_DROPPED)))))
@@ -353,7 +354,7 @@ def learn(distinct: DataFrame) -> tuple[frozenset[str], dict[str, str]]:
     hits = framed.join(short, "w").join(framed.select(F.col("w").alias("long"), "frame"), ["long", "frame"]).groupBy("w", "long").agg(F.countDistinct("frame").alias("n"))
     own = framed.groupBy("w").agg(F.countDistinct("frame").alias("own"))
     best = hits.groupBy("w").agg(F.max(F.struct("n", "long")).alias("b"), F.sum("n").alias("all")).join(own, "w")
-    best = best.where((F.col("b.n") * 2 > F.col("all")) & (F.col("b.n") >= SHORT_SHARE * F.col("own")))
+    best = best.where((F.col("b.n") * 2 > F.col("all")) & (F.col("b.n") >= SHORT_SHARE * F.col("own")) & (F.col("own") >= SHORT_LEAST * n))
     short_for = {r["w"]: r["long"] for r in best.where(~F.col("w").isin(sorted(_NICK))).select("w", F.col("b.long").alias("long")).collect()}
     # an abbreviation is no word of its own, and stands for what its word stands for
     for w in list(short_for):
