@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tamarind.session import cut_table, spread
 
 BUCKETS = 1 << 14
-RANK = 64
+RANK = 32
 OVERSAMPLE = 16
 PASSAGE = 20
 STRIDE = 10
@@ -49,6 +49,8 @@ BLOCK_WORDS = 200_000
 #: Share of a passage's words in their order, and of the answer's rare words, that a paraphrase has at least.
 MIN_LCS, MIN_ANSWER = 0.5, 0.5
 
+_MARK_BITS = 22
+
 _TAG = re.compile(r"<[/!a-zA-Z][^<>]{0,200}>")
 _BROKEN = re.compile(r"(?<=\w)[-\u00ad\u2010]\s*\n\s*(?=\w)")
 _DASH = re.compile(r"[–—/|\\]")
@@ -293,6 +295,9 @@ class _Queries:
         owner = np.repeat(np.arange(len(runs)), [len(r) for r in runs])
         order = np.argsort(np.concatenate(runs), kind="stable")
         self.seeds, self.seed_owner = np.concatenate(runs)[order], owner[order]
+        # most runs of the documents are none of these, which one look into a table of their first bits tells
+        self.marked = np.zeros(1 << _MARK_BITS, bool)
+        self.marked[(self.seeds >> np.uint64(64 - _MARK_BITS)).astype(np.int64)] = True
         median = float(np.median(idf))
         self.answers = [{c for c in a.tolist() if idf[c & (BUCKETS - 1)] >= median} for _, _, a in items]
 
@@ -306,11 +311,12 @@ def _near(pdf: pd.DataFrame, q: _Queries, basis: np.ndarray, min_cosine: float)
     by_cosine, by_run, best = set(), set(), {}
     runs = _runs(flat)
     if len(runs) and len(q.seeds):
-        first, last = np.searchsorted(q.seeds, runs), np.searchsorted(q.seeds, runs, "right")
-        for i in np.flatnonzero(first < last):
+        likely = np.flatnonzero(q.marked[(runs >> np.uint64(64 - _MARK_BITS)).astype(np.int64)])
+        first, last = np.searchsorted(q.seeds, runs[likely]), np.searchsorted(q.seeds, runs[likely], "right")
+        for i, lo, hi in zip(likely, first, last):
             row = int(np.searchsorted(offsets, i, "right")) - 1
             if i + SEED <= offsets[row + 1]:
-                by_run.update((row, int(o)) for o in q.seed_owner[first[i] : last[i]])
+                by_run.update((row, int(o)) for o in q.seed_owner[lo:hi])
     starts = [o + _starts(len(t), PASSAGE, STRIDE) for o, t in zip(offsets, texts)]
     row_of = np.repeat(np.arange(len(texts)), [len(x) for x in starts])
     starts = np.concatenate(starts) if starts else np.zeros(0, np.int64)
