@@ -75,9 +75,15 @@ def keyword_candidates(asked: DataFrame, known: DataFrame, ask_key: str, ask_tit
     words = asks.select("k").where("k <> '' and not k rlike '\\\\s'").distinct().withColumn("g", F.substring("k", 1, 5))
     hits = words.join(grams, "g").where(F.col("w").contains(F.col("k"))).select("k", "w")
     by_word = hits.join(said, "w").select("k", "ck", "ct").distinct()
-    # a title without a longer word is asked for by its first signs, which may hold blanks: few, and searched for as such
-    phrases = asks.select("k").where("k rlike '\\\\s'").distinct()
-    by_phrase = titles.join(phrases, F.lower("ct").contains(F.col("k"))).select("k", "ck", "ct")
+    # a title without a longer word is asked for by its first signs, which may hold blanks: by the first five of them in every place
+    phrases = asks.select("k").where("k rlike '\\\\s'").distinct().withColumn("g", F.substring("k", 1, 5))
+    sizes = sorted(r[0] for r in phrases.select(F.length("g")).distinct().collect())  # 1 to 5
+    by_phrase = by_word.limit(0)
+    if sizes:
+        at = lambda n: lambda i: F.substring(F.lower("ct"), i, F.lit(n))
+        places = [F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("ct") - n + 1)), at(n)) for n in sizes]
+        pieces = titles.select("ck", "ct", F.explode(F.array_distinct(F.flatten(F.array(*places)))).alias("g"))
+        by_phrase = pieces.join(phrases, "g").where(F.lower("ct").contains(F.col("k"))).select("k", "ck", "ct")
     best = by_word.unionByName(by_phrase).withColumn("n", rank("k")).where(F.col("n") <= most).drop("n")
     found = asks.join(best, "k")
     some = titles.orderBy("ck", "ct").limit(blank_most)

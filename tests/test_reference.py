@@ -323,3 +323,37 @@ def test_entry_without_the_subpackage(tmp_path):
     blocked = "import sys; sys.modules['zstandard'] = None; " + ask
     out = subprocess.run([sys.executable, "-c", blocked], cwd=root, capture_output=True, text=True, check=True).stdout.split()
     assert int(out[0]) > 100 and out[1] == "False"
+
+
+def test_keyword_candidates_against_brute_force(spark):
+    from tamarind.operators import search as Q
+
+    known = [(f"k{i:02d}", t) for i, t in enumerate(["Repairs of Roads", "road REPAIR", "a b c of it", "x a b c of it y", "Supply", "", None, "disrepair now", "a b"] * 3)] + [(None, "Repair")]
+    asked = [("q1", "the Repair of it"), ("q2", "a b c"), ("q3", "A b"), ("q4", " "), ("q5", None), ("q6", "nothing like that"), ("q1b", "Repair"), ("q7", "100% sup.ply")]
+    shape = "{0} string, {1} string"
+    got = Q.keyword_candidates(spark.createDataFrame(asked, shape.format("q", "t")), spark.createDataFrame(known, shape.format("ck0", "ct0")), "q", "t", "ck0", "ct0", most=4, blank_most=3)
+    want = set()
+    full = sorted((k, t) for k, t in known if k and (t or "").strip())
+    for q, t in asked:
+        words = [w for w in (t or "").split() if len(w) > 4]
+        key = (words[0] if words else (t or "").strip()[:20]).lower()
+        want |= {(q, k) for k, _ in (full[:3] if not (t or "").strip() else [x for x in full if key in x[1].lower()][:4])}
+    assert {(r["q"], r["ck0"]) for r in got.collect()} == want
+    best = Q.best_match(got, "q", lambda _: Q.word_overlap(F.col("t"), F.col("ct0")), "ck0").collect()
+    assert all(r["confidence"] >= 0.7 for r in best) and len({r["q"] for r in best}) == len(best)
+
+
+def test_search_rules(spark):
+    from tamarind.operators import search as Q
+
+    rows = [(1, "u1", "Bridge", "Body", "Works", "text", None, ["45-1"], "2026-02-01T00:00:00Z", "2026-01-01"), (2, "u2", None, None, None, None, "Gov", None, "soon", None), (3, None, "bridge two", "a", "Goods", None, None, [], "2026-03-01", "2026-01-05T10:00:00+02:00")]
+    t = spark.createDataFrame(rows, "id int, u string, title string, procuring_entity string, procurement_type string, detailed_description string, funding_source string, cpv_codes array<string>, submission_deadline string, publication_date string")
+    a = spark.createDataFrame([("u1", "Works", "Scope", "T"), ("u1", "Z", None, None), (None, "x", None, None)], "u string, contract_type string, scope_of_work string, contract_title string")
+    ask = lambda **k: [r["id"] for r in Q.search(t, a, "u", "2026-01-20T00:00:00Z", **k).collect()]
+    assert ask() == [1, 3, 2] and ask(sort="deadline_desc") == [3, 1, 2] and ask(sort="?") == [1, 2, 3] and ask(sort="published_desc") == [3, 1, 2]
+    assert ask(sort="entity_asc") == [2, 3, 1] and ask(number=2, size=2) == [2] and ask(number=9) == []
+    assert ask(has_analysis=True) == [1] and ask(has_analysis=False) == [3, 2] and ask(contract_type="WORK") == [1]
+    assert ask(q="BRIDGE") == [1, 3] and ask(q="scope") == [1] and ask(q="  ") == [1, 3, 2] and ask(cpv="45") == [1] and ask(funding_source="gov") == [2]
+    assert ask(closing_within_days=12) == [1] and ask(deadline_after="2026-02-01") == [1, 3] and ask(deadline_before="2026-02-01") == [1] and ask(deadline_after="no date") == [1, 3, 2]
+    r = Q.search(t, a, "u", "2026-01-20T00:00:00Z", size=2).first()
+    assert (r["total_rows"], r["has_next"]) == (3, True) and Q.search(t.limit(0), a.limit(0), "u", "2026-01-20T00:00:00Z").count() == 0
