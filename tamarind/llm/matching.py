@@ -27,6 +27,8 @@ import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache, reduce
+from itertools import chain
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -83,6 +85,7 @@ _ROMAN = {"i": 1, "ii": 2, "iii": 3, "iv": 4, "v": 5, "vi": 6, "vii": 7, "viii":
 _LOT = re.compile(r"\blots?\s*(?:no\.?\s*)?[-#:]?\s*(\d{1,3}|[ivx]{1,4})\b")
 _PHASE = re.compile(r"\bphase\s*[-#:]?\s*(\d{1,3}|[ivx]{1,4})\b")
 _YEAR = re.compile(r"\b(?:fy\s*)?(20\d\d)\s*[/-]\s*(\d{2})\b")
+_WORDS = re.compile(r"[a-z0-9]+")
 _REFERENCE = re.compile(r"(?:([A-Z]{2,5})[^A-Z0-9]*)?(20\d\d)[^A-Z0-9]*(\d{1,5})(?:[^A-Z0-9]*L(\d+))?$")
 
 
@@ -92,14 +95,16 @@ def _number(text: str) -> str:
 
 def title_parts(title: str) -> tuple[list[str], str, str, str]:
     """Words of a title that count, and its lot, phase and year ('' for none)."""
-    t = unicodedata.normalize("NFKC", title).lower().replace("d&b", "design build").replace("&", " and ")
+    t = (title if title.isascii() else unicodedata.normalize("NFKC", title)).lower()
+    if "&" in t:
+        t = t.replace("d&b", "design build").replace("&", " and ")
     found = []
-    for pattern in (_LOT, _PHASE, _YEAR):
-        m = pattern.search(t)
+    for pattern, sign in ((_LOT, "lot"), (_PHASE, "phase"), (_YEAR, "20")):
+        m = pattern.search(t) if sign in t else None
         found.append((_number(m.group(1)).lstrip("0") if pattern is not _YEAR else m.group(1)) if m else "")
         if m:
             t = t[: m.start()] + " " + t[m.end() :]
-    words = [SAME.get(w, w) for w in re.findall(r"[a-z0-9]+", t)]
+    words = [SAME.get(w, w) for w in _WORDS.findall(t)]
     return [w for w in words if w not in FILLERS], *found
 
 
@@ -107,7 +112,7 @@ def reference_parts(reference: str | None) -> tuple[str, str, str, str]:
     """Series, year, number and lot of a reference number; '' for what it lacks or what is no reference."""
     if not reference:
         return "", "", "", ""
-    m = _REFERENCE.search(unicodedata.normalize("NFKC", reference).upper().strip())
+    m = _REFERENCE.search((reference if reference.isascii() else unicodedata.normalize("NFKC", reference)).upper().strip())
     return ("", "", "", "") if not m else (m.group(1) or "", m.group(2), m.group(3).lstrip("0") or "0", m.group(4) or "")
 
 
@@ -127,6 +132,11 @@ def _word(word: str) -> int:
     return BUCKETS + (_hash(f"w:{word}") & (BUCKETS - 1))
 
 
+@lru_cache(200_000)
+def _token(word: str) -> int:
+    return _hash(f"t:{word}") & (BUCKETS - 1)
+
+
 @lru_cache(200_000)
 def _mask(word: str) -> int:
     bits = 0
@@ -160,16 +170,26 @@ def _describe(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             attributes += [f"reference:{year}/{number}"] if number else []
             attributes += [f"entity:{head}/{rest}"] if head or rest else []
             nodes = [BUCKETS + (_hash(x) & (BUCKETS - 1)) for x in attributes]
-            tokens = [_hash(f"t:{w}") & (BUCKETS - 1) for w in words]
-            groups = [g for w in words for g in _letters(w)]
-            drawn = [_hash(f"{k}{side}{rid}") for k in "abcde"]
-            links = nodes[:2] + [tokens[d % len(tokens)] for d in drawn[:2] if tokens]
-            own = [groups[d % len(groups)] for d in drawn[2:4] if groups] + [(tokens + nodes)[drawn[4] % len(tokens + nodes)]]
+            tokens = list(map(_token, words))
+            chance = _hash(f"{side}{rid}")
+            drawn = [(chance * k >> 7 & 0xFFFFFFFF) for k in (2_654_435_761, 2_246_822_519, 3_266_489_917, 668_265_263, 374_761_393)]
+            links = nodes[:2] + ([tokens[d % len(tokens)] for d in drawn[:2]] if tokens else [])
+            own, letters = [], sum(map(len, words))
+            for d in drawn[2:4] if letters else ():
+                d %= letters  # a word has as many letter groups as letters
+                for w in words:
+                    if d < len(w):
+                        own.append(_letters(w)[d])
+                        break
+                    d -= len(w)
+            last = drawn[4] % (len(tokens) + len(nodes))
+            own.append(tokens[last] if last < len(tokens) else nodes[last - len(tokens)])
             out.append((
                 rid, side, " ".join(words), lot, phase, fy, series, year, number, "" if short else head, rest, short,
                 day, basis, trait, list(dict.fromkeys(links)), own,
             ))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in _SHAPE.split(", ")]).astype({"day": "Int32"})
+        names = [c.split()[0] for c in _SHAPE.split(", ")]
+        yield pd.DataFrame(dict(zip(names, zip(*out))) if out else {}, columns=names).astype({"day": "Int32"})
 
 
 def random_walks(records: DataFrame) -> DataFrame:
@@ -221,7 +241,10 @@ def frequencies(records: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(2 * BUCKETS, np.int64)
         for pdf in it:
-            seen = [g for x in pdf["words"] for g in {*(g for w in x.split() for g in _letters(w)), *map(_word, x.split())}]
+            seen: list[int] = []
+            for x in pdf["words"]:
+                words = x.split()
+                seen.extend(set(map(_word, words)).union(*map(_letters, words)))
             total += np.bincount(np.array(seen, np.int64), minlength=2 * BUCKETS)
         hit = np.flatnonzero(total)
         yield pd.DataFrame({"c": hit, "n": total[hit]})
@@ -232,28 +255,61 @@ def frequencies(records: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return out[:BUCKETS], out[BUCKETS:]
 
 
-def _names(titles: list[str], common: np.ndarray) -> np.ndarray:
+class Names(dict):
     """128 bits a title, set by the letter groups of its uncommon words: titles that name the same share most of theirs."""
-    out = np.zeros((len(titles), 2), np.uint64)
-    for i, words in enumerate(titles):
-        bits = 0
-        for w in words.split():
-            if not common[_word(w) - BUCKETS]:
-                bits |= _mask(w)
-        out[i] = bits & 0xFFFFFFFFFFFFFFFF, bits >> 64
-    return out.view(np.int64)
+
+    def __init__(self, common: np.ndarray):
+        super().__init__()
+        self.common = common
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 100_000:
+            self.clear()
+        self[word] = out = 0 if self.common[_word(word) - BUCKETS] else _mask(word)
+        return out
+
+    def of(self, titles: list[list[str]]) -> np.ndarray:
+        bits = [reduce(or_, map(self.__getitem__, x), 0) for x in titles]
+        return np.array([[x & 0xFFFFFFFFFFFFFFFF for x in bits], [x >> 64 for x in bits]], np.uint64).T.view(np.int64)
+
+
+class Sums:
+    """Sums of the weighted vectors of titles' letter groups, kept by word for ``most`` words at a time."""
+
+    def __init__(self, table: np.ndarray, most: int = 40_000):
+        self.table, self.most = table, most
+        self.place: dict[str, int] = {}
+        self.rows = np.zeros((1_024, table.shape[1]), np.float32)
+
+    def _learn(self, words: list[str]) -> None:
+        groups = [_letters(w) for w in words]
+        size = np.fromiter(map(len, groups), np.int64, len(groups))
+        flat = np.fromiter(chain.from_iterable(groups), np.int64, int(size.sum()))
+        end = len(self.place) + len(words)
+        if end > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros((max(end - len(self.rows), len(self.rows)), self.rows.shape[1]), np.float32)])
+        self.rows[len(self.place) : end] = np.add.reduceat(self.table[flat], np.cumsum(np.r_[0, size[:-1]]), axis=0)  # a word has one group at least
+        self.place.update(zip(words, range(len(self.place), end)))
+
+    def __call__(self, titles: list[list[str]]) -> np.ndarray:
+        every = list(chain.from_iterable(titles))
+        new = [w for w in dict.fromkeys(every) if w not in self.place]
+        if new and len(self.place) + len(new) > self.most:
+            self.place = {}
+            new = list(dict.fromkeys(every))
+        if new:
+            self._learn(new)
+        size = np.fromiter(map(len, titles), np.int64, len(titles))
+        out = np.zeros((len(titles), self.table.shape[1]), np.float32)
+        if every:
+            flat = np.fromiter(map(self.place.__getitem__, every), np.int64, len(every))
+            out[size > 0] = np.add.reduceat(self.rows[flat], np.cumsum(np.r_[0, size[:-1]])[size > 0], axis=0)
+        return out
 
 
 def _totals(titles: list[str], table: np.ndarray) -> np.ndarray:
     """Sums of the weighted vectors of each title's letter groups."""
-    lists = [[g for w in x.split() for g in _letters(w)] for x in titles]
-    size = np.fromiter(map(len, lists), np.int64, len(lists))
-    out = np.zeros((len(lists), table.shape[1]), np.float32)
-    if size.sum():
-        flat = np.fromiter((g for x in lists for g in x), np.int64, int(size.sum()))
-        starts = np.cumsum(np.r_[0, size[:-1]])[size > 0]
-        out[size > 0] = np.add.reduceat(table[flat], starts, axis=0)
-    return out
+    return Sums(table)([x.split() for x in titles])
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
@@ -266,10 +322,10 @@ def whitening(records: DataFrame, table: np.ndarray) -> tuple[np.ndarray, np.nda
     shared = records.sparkSession.sparkContext.broadcast(table)
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((d + 1, d))
+        total, sums = np.zeros((d + 1, d)), Sums(shared.value)
         for pdf in it:
             for at in range(0, len(pdf), 2_000):
-                v = _unit(_totals(list(pdf["words"][at : at + 2_000]), shared.value)).astype(np.float64)
+                v = _unit(sums([x.split() for x in pdf["words"][at : at + 2_000]])).astype(np.float64)
                 total[:d] += v.T @ v
                 total[d] += v.sum(axis=0)
         yield pd.DataFrame({"i": range(d + 1), "v": list(total)})
@@ -283,14 +339,36 @@ def whitening(records: DataFrame, table: np.ndarray) -> tuple[np.ndarray, np.nda
     return mean.astype(np.float32), (vectors * np.maximum(values, 1e-6) ** -WHITEN).astype(np.float32)
 
 
+@lru_cache(200_000)
+def _signs(word: str) -> int:
+    """The letters and digits of a word as bits."""
+    bits = 0
+    for ch in word:
+        bits |= 1 << (ord(ch) & 63)
+    return bits
+
+
 @lru_cache(500_000)
+def _near(a: str, b: str) -> int:
+    """Edits between two words, up to 2; 3 for more."""
+    return edits(a, b, 2)
+
+
 def _alike(a: str, b: str) -> int:
     """1 for words one edit apart and for a word and its beginning, 2 for words two edits apart, 0 for others."""
-    if min(len(a), len(b)) >= 4 and edits(a, b, 1) <= 1:
-        return 1
-    if min(len(a), len(b)) >= 3 and (a.startswith(b) or b.startswith(a)):
+    least = min(len(a), len(b))
+    if least < 3:
+        return 0
+    if a.startswith(b) or b.startswith(a):
         return 1
-    return 2 if min(len(a), len(b)) >= 6 and edits(a, b, 2) <= 2 else 0
+    if least < 4 or abs(len(a) - len(b)) > 2:
+        return 0
+    # an edit takes at most one sign from either word
+    x, y = _signs(a), _signs(b)
+    if (x & ~y).bit_count() > 2 or (y & ~x).bit_count() > 2:
+        return 0
+    found = _near(a, b)
+    return 1 if found <= 1 else 2 if found == 2 and least >= 6 else 0
 
 
 class Weights(dict):
@@ -310,7 +388,7 @@ class Weights(dict):
 def compare_titles(a: list[str], b: list[str], weight: Weights) -> tuple[float, int]:
     """Share of both titles' words that have a counterpart, uncommon words counting three times, and the uncommon words of either
     title that have none within two edits on the other side: other names, most likely."""
-    only, left, got = [], list(b), 0.0
+    only, left, got = [], b.copy(), 0.0
     for w in a:
         if w in left:
             left.remove(w)
@@ -320,14 +398,20 @@ def compare_titles(a: list[str], b: list[str], weight: Weights) -> tuple[float,
     total, other = got, 0
     for w in only:
         total += weight[w]
-        hit = min((x for x in left if _alike(w, x)), key=lambda x: _alike(w, x), default=None)
+        hit, best = None, 3
+        for x in left:
+            found = _alike(w, x)
+            if found and found < best:
+                hit, best = x, found
         if hit is not None:
             left.remove(hit)
-            got += weight[w] if _alike(w, hit) == 1 else weight[w] / 2
+            got += weight[w] if best == 1 else weight[w] / 2
         else:
             other += weight[w] > 1 and len(w) >= 4
-    total += sum(weight[x] / 2 for x in left)
-    return (got / total if total else 0.0), min(3, other + sum(weight[x] > 1 and len(x) >= 4 for x in left))
+    for x in left:
+        total += weight[x] / 2
+        other += weight[x] > 1 and len(x) >= 4
+    return (got / total if total else 0.0), min(3, other)
 
 
 _FEATURES = ("words", "entity", "dated", "trait")
@@ -339,22 +423,25 @@ def _title_codes(shared):  # noqa: ANN001, ANN202
     """A pandas UDF of two titles: (tenths of words shared, tenths of cosine, names of one side only) as one number."""
 
     @F.pandas_udf("int")
-    def codes(left: pd.Series, right: pd.Series) -> pd.Series:
+    def codes(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         table, mean, turn, common = shared.value
-        a, b = left.to_numpy(), right.to_numpy()
-        out = np.full(len(a), _EQUAL)
-        weight = Weights(common)
-        different = np.flatnonzero(a != b)
-        for at in range(0, len(different), 2_000):
-            part = different[at : at + 2_000]
-            # a title is in several pairs, and is summed once
-            place, titles = pd.factorize(np.concatenate([a[part], b[part]]))
-            v = _unit((_unit(_totals(list(titles), table)) - mean) @ turn)
-            near = np.clip((np.einsum("nd,nd->n", v[place[: len(part)]], v[place[len(part) :]]) * 10).astype(int), 0, 9)
-            for i, n in zip(part, near):
-                share, other = compare_titles(a[i].split(), b[i].split(), weight)
-                out[i] = (int(10 * share) * 10 + n) * 4 + other
-        return pd.Series(out)
+        sums, weight = Sums(table), Weights(common)
+        for left, right in batches:
+            a, b = left.to_numpy(), right.to_numpy()
+            out = np.full(len(a), _EQUAL)
+            different = np.flatnonzero(a != b)
+            for at in range(0, len(different), 2_000):
+                part = different[at : at + 2_000]
+                # a title is in several pairs, and is summed and cut once
+                place, titles = pd.factorize(np.concatenate([a[part], b[part]]))
+                words = [t.split() for t in titles]
+                v = _unit((_unit(sums(words)) - mean) @ turn)
+                x, y = place[: len(part)], place[len(part) :]
+                near = np.clip((np.einsum("nd,nd->n", v[x], v[y]) * 10).astype(int), 0, 9)
+                shares = [compare_titles(words[i], words[j], weight) for i, j in zip(x.tolist(), y.tolist())]
+                share, other = np.array(shares).T
+                out[part] = ((10 * share).astype(int) * 10 + near) * 4 + other.astype(int)
+            yield pd.Series(out)
 
     return codes
 
@@ -375,13 +462,13 @@ def _reference_state(s1, y1, n1, s2, y2, n2):  # noqa: ANN001, ANN202
     return F.when((n1 == "") | (n2 == ""), 5).when(other_series, 0).when((y1 == y2) & (n1 == n2), 10).when(one_off, 7).otherwise(0)
 
 
-def evidence(ranked: DataFrame) -> dict[str, dict[int, float]]:
-    """What each value of a feature says for a match, in nats: the logarithm of its share among pairs whose references agree over
+def evidence(counted: DataFrame) -> dict[str, dict[int, float]]:
+    """``counted``: ``n`` pairs of the same features. What each value of a feature says for a match, in nats: the logarithm of its share among pairs whose references agree over
     over that among pairs whose references differ. Where several tenders have the award's reference, none of them counts. Counts
     over all other pairs, with half a pair added; the driver gets a row a value."""
-    known = ranked.where("reference <> 5 and (reference <> 10 or alone)")
+    known = counted.where("reference <> 5 and (reference <> 10 or alone)")
     values = F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).alias("v")) for f in _FEATURES])
-    rows = known.select(F.explode(values).alias("x"), (F.col("reference") == 10).alias("yes")).groupBy("x.f", "x.v", "yes").count().collect()
+    rows = known.select(F.explode(values).alias("x"), (F.col("reference") == 10).alias("yes"), "n").groupBy("x.f", "x.v", "yes").agg(F.sum("n").alias("count")).collect()
     out: dict[str, dict[int, float]] = {}
     told = [sum(r["count"] for r in rows if r["f"] == "entity" and r["yes"] == yes) for yes in (True, False)]
     if min(told) < LEAST_TOLD:
@@ -408,7 +495,7 @@ def prior_evidence() -> dict[str, dict[int, float]]:
 
 def calibrate(scored: DataFrame) -> tuple[float, float]:
     """Slope and bias of the logistic fit of the score to whether the references agree, on counts over all pairs."""
-    binned = scored.where("reference <> 5").groupBy(F.round(F.greatest(F.lit(-30.0), F.least(F.lit(30.0), "z")), 1).alias("z"), (F.col("reference") == 10).alias("yes")).count()
+    binned = scored.where("reference <> 5").groupBy(F.round(F.greatest(F.lit(-30.0), F.least(F.lit(30.0), "z")), 1).alias("z"), (F.col("reference") == 10).alias("yes")).agg(F.sum("n").alias("count"))
     rows = binned.collect()  # at most 2 * 601 rows
     if min((sum(r["count"] for r in rows if r["yes"] == yes) for yes in (True, False))) < LEAST_TOLD:
         return 1.0, 0.0
@@ -489,11 +576,13 @@ def match_records(left: DataFrame, right: DataFrame) -> DataFrame:
     def hashed(side: int):  # noqa: ANN202
         def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             table, mean, turn, planes, attributes, flat, common = shared.value
-            power = (1 << np.arange(bits)).astype(np.int64)
+            power, sums = (1 << np.arange(bits)).astype(np.int64), Sums(table)
+            named_by = Names(common)
             for whole in it:
                 for at in range(0, len(whole), 2_000):
                     pdf = whole.iloc[at : at + 2_000].reset_index(drop=True)
-                    v = _unit((_unit(_totals(list(pdf["words"]), table)) - mean) @ turn)
+                    titles = [x.split() for x in pdf["words"]]
+                    v = _unit((_unit(sums(titles)) - mean) @ turn)
                     margin = (v @ planes).reshape(len(v), TABLES, bits)
                     base = (margin > 0) @ power
                     keys = [base]
@@ -501,26 +590,18 @@ def match_records(left: DataFrame, right: DataFrame) -> DataFrame:
                         unsure = np.abs(margin).argsort(axis=2)[:, :, :UNSURE]
                         flips = power[unsure] * np.where(np.take_along_axis(margin, unsure, 2) > 0, -1, 1)
                         keys = [base + sum((flips[:, :, j] for j in range(UNSURE) if s >> j & 1), np.zeros_like(base)) for s in range(1 << UNSURE)]
-                    names = _names(list(pdf["words"]), common)
-                    rows, where, view = [], [], []
-                    for k in keys:
-                        for j in range(TABLES):
-                            rows.append(k[:, j])
-                            where.append(np.arange(len(pdf)))
-                            view.append(np.full(len(pdf), j))
+                    names = np.ascontiguousarray(named_by.of(titles))
+                    views = np.concatenate([k.astype(np.int64) * TABLES + np.arange(TABLES) for k in keys] + [np.zeros((len(pdf), 1), np.int64)], axis=1)
                     # the attributes' own vectors: reference and entity
                     refs = pdf["ref_no"].to_numpy() != ""
                     named = [[_hash(f"reference:{y}/{r}"), _hash(f"entity:{h}/{e}")] for y, r, h, e in zip(pdf["ref_year"][refs], pdf["ref_no"][refs], pdf["head"][refs], pdf["rest"][refs])]
                     if named:
                         b = np.array(named) & (BUCKETS - 1)
-                        sign = ((attributes[b[:, 0]] + 0.5 * attributes[b[:, 1]]) @ flat > 0) @ (1 << np.arange(40)).astype(np.int64)
-                        rows.append(sign)
-                        where.append(np.flatnonzero(refs))
-                        view.append(np.full(len(sign), TABLES))
-                    take = np.concatenate(where)
+                        views[refs, -1] = -1 - ((attributes[b[:, 0]] + 0.5 * attributes[b[:, 1]]) @ flat > 0) @ (1 << np.arange(40)).astype(np.int64)
+                    width = views.shape[1]
                     yield pd.DataFrame({
-                        "k": np.concatenate(rows), "view": np.concatenate(view).astype(np.int32), "node": pdf["node"].to_numpy()[take],
-                        "exact": pdf["exact"].to_numpy()[take], "day": pdf["day"].astype("Int32").take(take).reset_index(drop=True), "basis": pdf["basis"].to_numpy()[take], "x": names[take, 0], "y": names[take, 1],
+                        "keys": [row[: width if known else width - 1] for row, known in zip(views, refs)], "node": pdf["node"], "exact": pdf["exact"],
+                        "day": pdf["day"].astype("Int32"), "basis": pdf["basis"], "x": names[:, 0], "y": names[:, 1],
                     })
 
         columns = ["node", "words", "ref_year", "ref_no", "head", "rest", "day", "basis", F.xxhash64("lot", "fy").alias("exact")]
@@ -531,8 +612,9 @@ def match_records(left: DataFrame, right: DataFrame) -> DataFrame:
             once = mine.where(title.isin(common_keys)).groupBy(title.alias("node")).agg(F.first("words").alias("words"), F.first(F.xxhash64("lot", "fy")).alias("exact"))
             empty = [F.lit("").alias(c) for c in ("ref_year", "ref_no", "head", "rest")]
             marked = marked.unionByName(once.select("node", "words", *empty, none("day", "int"), F.lit(0).alias("basis"), "exact"))
-        rows = marked.mapInPandas(run, "k bigint, view int, node bigint, exact bigint, day int, basis int, x bigint, y bigint")
-        blocks = rows.select(F.xxhash64("k", "view", "exact").alias("key"), "node", "day", "basis", "x", "y", F.lit(False).alias("sure"))
+        rows = marked.mapInPandas(run, "keys array<bigint>, node bigint, exact bigint, day int, basis int, x bigint, y bigint")
+        rows = rows.select(F.explode("keys").alias("k"), "node", "exact", "day", "basis", "x", "y")
+        blocks = rows.select(F.xxhash64("k", "exact").alias("key"), "node", "day", "basis", "x", "y", F.lit(False).alias("sure"))
         # one reference, where at most one of the two lacks its series or both do; a reference that many have is no sure sign
         open_left, open_right, both_open = F.lit("left?"), F.lit("right?"), F.lit("?")
         given = F.array(F.col("series"), open_right if side == 0 else open_left)
@@ -616,7 +698,9 @@ def _likely(ranked: DataFrame, typed: dict[int, float] | None = None) -> tuple[D
     Where titles say nothing, hardly a feature but the reference tells a match, so what references say cannot be counted there.
     How those of matches are typed is given then (``typed``), and those of others are what is left of all pairs.
     """
-    said = evidence(ranked.where("told"))  # pairs that met by their reference alone are weighed, but tell nothing
+    # pairs that met by their reference alone are weighed, but tell nothing
+    counted = cut_table(ranked.where("told").groupBy(*_FEATURES, "reference", "alone").agg(F.count("*").alias("n")))
+    said = evidence(counted)
 
     def weigh(feature: str, values: dict[int, float]):  # noqa: ANN202
         if not values:
@@ -627,12 +711,13 @@ def _likely(ranked: DataFrame, typed: dict[int, float] | None = None) -> tuple[D
         known = F.create_map(*[x for v, e in sorted(values.items()) for x in (F.lit(v), F.lit(e))])
         return F.coalesce(known[F.col(feature)], F.lit(0.0))
 
-    scored = ranked.withColumn("z", sum((weigh(f, said[f]) for f in _FEATURES), F.lit(0.0)))
-    told = scored.where("told")
+    score = sum((weigh(f, said[f]) for f in _FEATURES), F.lit(0.0))
+    scored, told = ranked.withColumn("z", score), counted.withColumn("z", score)
     slope, bias = calibrate(told)
     # what the references say, among pairs that are likely or unlikely without them
     p = 1 / (1 + F.exp(-(F.lit(slope) * F.col("z") + F.lit(bias))))
-    rows = told.select("reference", p.alias("p")).groupBy("reference").agg(F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no")).collect()
+    rows = told.select("reference", "n", p.alias("p")).groupBy("reference").agg(F.sum(F.col("n") * F.col("p")).alias("yes"), F.sum(F.col("n") * (1 - F.col("p"))).alias("no")).collect()
+    drop_table(counted)
     yes, no = sum(r["yes"] for r in rows) + 2, sum(r["no"] for r in rows) + 2
     refs = {r["reference"]: float(np.log((r["yes"] + 0.5) / yes) - np.log((r["no"] + 0.5) / no)) for r in rows}
     if typed:

@@ -104,6 +104,28 @@ def test_one_reference_is_enough_to_meet(spark, monkeypatch):
     assert {(f"3{i:03d}", f"7{i:03d}") for i in range(3)} <= pairs
 
 
+def test_words_are_summed_and_compared_once():
+    """Sums by word equal sums by letter group, whatever is kept; words that cannot be near are told apart without a distance."""
+    rng = np.random.default_rng(1)
+    table = rng.standard_normal((m.BUCKETS, m.DIMENSIONS)).astype(np.float32)
+    words = ["".join(rng.choice(list("abcdeg19"), rng.integers(1, 9))) for _ in range(300)]
+    titles = [" ".join(rng.choice(words, rng.integers(0, 6))) for _ in range(100)]
+    plain = np.array([sum((table[g] for w in x.split() for g in m._letters(w)), np.zeros(m.DIMENSIONS)) for x in titles])
+    for most in (1, 50, 1_000):
+        sums = m.Sums(table, most)
+        got = np.concatenate([sums([x.split() for x in titles[at : at + 20]]) for at in range(0, 100, 20)])
+        assert np.abs(got - plain).max() < 1e-3
+
+    def alike(a, b):
+        if min(len(a), len(b)) >= 4 and m.edits(a, b, 1) <= 1 or min(len(a), len(b)) >= 3 and (a.startswith(b) or b.startswith(a)):
+            return 1
+        return 2 if min(len(a), len(b)) >= 6 and m.edits(a, b, 2) <= 2 else 0
+
+    asked = m._near.cache_info().misses
+    assert all(m._alike(a, b) == alike(a, b) for a in words for b in words)
+    assert m._near.cache_info().misses - asked < len(words) ** 2 / 4
+
+
 def test_learned_vectors_matter(spark):
     """Of pairs with one reference and differing titles, learned vectors bring more into one block than random ones do."""
     left, right = p7_sides(spark, "/root/testdata/sf0.1")
