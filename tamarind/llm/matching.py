@@ -644,6 +644,9 @@ def match_records(left: DataFrame, right: DataFrame) -> DataFrame:
         F.col("day").alias(f"{p}d"), title.isin(common_keys).alias(f"{p}common"), *([F.col("basis"), F.col("trait")] if k == 0 else []),
     )
     wide = met.join(side(0, "t"), "tn").join(side(1, "a"), "an").where("tphase = aphase or tphase = '' or aphase = ''")
+    # a common title beside another one is weighed as any two titles are, but tells nothing: there are too many of such pairs
+    same = F.col("tcommon") & (F.col("twords") == F.col("awords"))
+    wide = wide.withColumn("common", same).withColumn("told", F.col("told") & (same | ~(F.col("tcommon") | F.col("acommon"))))
     agree = (F.col("t3") != "") & (F.col("t2") == F.col("a2")) & (F.col("t3") == F.col("a3"))
     ranking = spark.sparkContext.broadcast((table, mean, turn, common))
     c = lambda *names: [F.col(n) for n in names]
@@ -655,7 +658,7 @@ def match_records(left: DataFrame, right: DataFrame) -> DataFrame:
             "tid", "aid", gap.alias("gap"), (_title_codes(ranking)("twords", "awords") * 2 + (F.col("tphase") == F.col("aphase")).cast("int")).alias("words"),
             _entity_state(*c("thead", "trest", "tshort", "ahead", "arest", "ashort")).alias("entity"), dated.alias("dated"), "trait",
             _reference_state(*c("t1", "t2", "t3", "a1", "a2", "a3")).alias("reference"), "alone",
-            (F.col("tcommon") | F.col("acommon")).alias("common"), "told",
+            "common", "told",
         )
     )
     for b in (shared, ranking):
