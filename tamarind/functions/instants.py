@@ -43,7 +43,8 @@ def _clean(raw: Column) -> Column:
 
 
 def _int(c: Column) -> Column:
-    return c.try_cast("int")
+    """The number that a group of digits is; null for any other text, which a cast alone would meet with a costly exception."""
+    return F.when(c.rlike(r"^\d+$"), c.try_cast("int"))
 
 
 def _zone_known(zone: Column) -> Column:
@@ -164,10 +165,13 @@ def day_of(raw: Column) -> Column:
     """Days since 1970 of a raw timestamp, as it is written: of the date alone where the text begins with an ISO or a slashed date,
     which most do, else of the first reading. Zones may move it by a day."""
 
-    def date(pattern: str, year: int, month: int, day: int) -> Column:
-        part = lambda i: F.regexp_extract(raw, pattern, i).try_cast("int")
-        return F.unix_date(F.try_make_timestamp(part(year), part(month), part(day), F.lit(0), F.lit(0), F.lit(0).cast("decimal(8,6)"), F.lit("UTC")).cast("date"))
+    def date(year: Column, month: Column, day: Column) -> Column:
+        parts = [x.try_cast("int") for x in (year, month, day)]
+        return F.unix_date(F.try_make_timestamp(*parts, F.lit(0), F.lit(0), F.lit(0).cast("decimal(8,6)"), F.lit("UTC")).cast("date"))
 
-    slashed, iso = r"^(\d{1,2})/(\d{1,2})/(\d{4})\b", r"^(\d{4})-(\d{2})-(\d{2})(?:\D|$)"
+    slashed, iso = r"^\d{1,2}/\d{1,2}/\d{4}\b", r"^\d{4}-\d{2}-\d{2}(?:\D|$)"
+    between = [F.split_part(raw, F.lit("/"), F.lit(i)) for i in (1, 2, 3)]
+    of_slashed = date(F.substring(between[2], 1, 4), between[1], between[0])
+    of_iso = date(F.substring(raw, 1, 4), F.substring(raw, 6, 2), F.substring(raw, 9, 2))
     other = F.floor(instant(raw) / 86_400_000_000).cast("int")
-    return F.when(raw.rlike(slashed), date(slashed, 3, 2, 1)).when(raw.rlike(iso), date(iso, 1, 2, 3)).otherwise(other)
+    return F.when(raw.rlike(slashed), of_slashed).when(raw.rlike(iso), of_iso).otherwise(other)

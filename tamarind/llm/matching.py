@@ -25,13 +25,14 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache, reduce
 from itertools import chain
 from operator import or_
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import Word2Vec
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,6 +61,8 @@ SLICE = 2_000
 #: letter groups of theirs (0.05 % of true pairs share less).
 COMMON_WORD, SHARED_NAMES = 0.002, 0.4
 MIN_CONFIDENCE = 0.5
+#: Words of the longest titles that are compared in arrays.
+MOST_WORDS = 24
 #: Days of a bin of days between two dates, and the bins' reach.
 BIN, REACH = 15, 1_500
 #: Share of pairs of one title and reference that may lie outside the window of dates, and the least number of such pairs.
@@ -145,10 +148,15 @@ def _mask(word: str) -> int:
     return bits
 
 
+def _node(attribute: str) -> int:
+    return BUCKETS + (_hash(attribute) & (BUCKETS - 1))
+
+
 @lru_cache(50_000)
-def _entity(text: str) -> tuple[str, str, bool]:
+def _entity(text: str) -> tuple[str, str, bool, int]:
+    """Head and rest of a body's name, whether it is short, and its node."""
     form, head, rest, _ = take_apart(text, False) or ("", "", "", "")
-    return head, rest, form == "short"
+    return head, rest, form == "short", _node(f"entity:{head}/{rest}") if head or rest else 0
 
 
 _SHAPE = (
@@ -157,41 +165,57 @@ _SHAPE = (
 )
 
 
-def _describe(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The parts of a record; ``links`` are nodes by which a walk may leave it, ``own`` nodes that are said when it is passed."""
-    for pdf in it:
-        out = []
-        for rid, side, title, entity, reference, day, basis, trait in pdf.itertuples(index=False, name=None):
-            words, lot, phase, fy = title_parts(title)
-            series, year, number, ref_lot = reference_parts(reference)
-            head, rest, short = _entity(entity) if entity and entity.strip() else ("", "", False)
-            lot = lot or ref_lot
-            attributes = [f"title:{' '.join(words)}/{lot}/{phase}/{fy}"]
-            attributes += [f"reference:{year}/{number}"] if number else []
-            attributes += [f"entity:{head}/{rest}"] if head or rest else []
-            nodes = [BUCKETS + (_hash(x) & (BUCKETS - 1)) for x in attributes]
-            tokens = list(map(_token, words))
-            chance = _hash(f"{side}{rid}")
-            drawn = [(chance * k >> 7 & 0xFFFFFFFF) for k in (2_654_435_761, 2_246_822_519, 3_266_489_917, 668_265_263, 374_761_393)]
-            links = nodes[:2] + ([tokens[d % len(tokens)] for d in drawn[:2]] if tokens else [])
-            own, letters = [], sum(map(len, words))
-            for d in drawn[2:4] if letters else ():
-                d %= letters  # a word has as many letter groups as letters
-                for w in words:
+def _parts(rows: Iterable[tuple]) -> list[tuple]:
+    """The parts of records; ``links`` are nodes by which a walk may leave one, ``own`` nodes that are said when it is passed."""
+    out = []
+    for rid, side, title, entity, reference, day, basis, trait in rows:
+        words, lot, phase, fy = title_parts(title)
+        series, year, number, ref_lot = reference_parts(reference)
+        head, rest, short, body = _entity(entity) if entity and entity.strip() else ("", "", False, 0)
+        lot, said = lot or ref_lot, " ".join(words)
+        nodes = [_node(f"title:{said}/{lot}/{phase}/{fy}")]
+        if number:
+            nodes.append(_node(f"reference:{year}/{number}"))
+        if body:
+            nodes.append(body)
+        tokens = list(map(_token, words))
+        chance, links, own = _hash(f"{side}{rid}"), nodes[:2], []
+        if tokens:
+            links += tokens[(chance * 2_654_435_761 >> 7 & 0xFFFFFFFF) % len(tokens)], tokens[(chance * 2_246_822_519 >> 7 & 0xFFFFFFFF) % len(tokens)]
+            letters = len(said) - len(words) + 1
+            for d in ((chance * 3_266_489_917 >> 7 & 0xFFFFFFFF) % letters, (chance * 668_265_263 >> 7 & 0xFFFFFFFF) % letters):
+                for w in words:  # a word has as many letter groups as letters
                     if d < len(w):
                         own.append(_letters(w)[d])
                         break
                     d -= len(w)
-            last = drawn[4] % (len(tokens) + len(nodes))
-            own.append(tokens[last] if last < len(tokens) else nodes[last - len(tokens)])
-            out.append((
-                rid, side, " ".join(words), lot, phase, fy, series, year, number, "" if short else head, rest, short,
-                day, basis, trait, list(dict.fromkeys(links)), own,
-            ))
-        names = [c.split()[0] for c in _SHAPE.split(", ")]
+        last = (chance * 374_761_393 >> 7 & 0xFFFFFFFF) % (len(tokens) + len(nodes))
+        own.append(tokens[last] if last < len(tokens) else nodes[last - len(tokens)])
+        out.append((
+            rid, side, said, lot, phase, fy, series, year, number, "" if short else head, rest, short,
+            day, basis, trait, list(dict.fromkeys(links)), own,
+        ))
+    return out
+
+
+def _describe(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """:func:`_parts` of frames."""
+    names = [c.split()[0] for c in _SHAPE.split(", ")]
+    for pdf in it:
+        out = _parts(pdf.itertuples(index=False, name=None))
         yield pd.DataFrame(dict(zip(names, zip(*out))) if out else {}, columns=names).astype({"day": "Int32"})
 
 
+def _describe_batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """:func:`_parts` of Arrow batches, without a frame on the way in or out."""
+    kinds = {"string": pa.string(), "int": pa.int32(), "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32())}
+    fields = [c.split() for c in _SHAPE.split(", ")]
+    for batch in it:
+        out = _parts(zip(*(c.to_pylist() for c in batch.columns)))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, kinds[kind]) for c, (_, kind) in zip(zip(*out), fields)], [name for name, _ in fields])
+
+
 def random_walks(records: DataFrame) -> DataFrame:
     """``sentence`` array<string>: what a walk from every record of the right side says, over two further records of either side.
 
@@ -210,9 +234,13 @@ def random_walks(records: DataFrame) -> DataFrame:
     here = F.struct("node", "own")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     steps = placed.withColumn("next", F.coalesce(F.lead(here).over(w), F.first(here).over(whole)))
-    one = steps.where("l1 and side = 1").select(F.col("next.node").alias("at"), F.concat("own", F.array("link"), "next.own").alias("said"))
-    two = steps.where("l2").select(F.col("node").alias("at"), F.concat(F.array("link"), "next.own").alias("more"))
-    return one.join(two, "at", "left").select(F.concat("said", F.coalesce("more", F.array().cast("array<int>"))).cast("array<string>").alias("sentence"))
+    # what is said on a walk's first way and on its second way, each at the record where the two meet
+    ways = steps.select(F.explode(F.array(
+        F.when(F.col("l1") & (F.col("side") == 1), F.struct(F.col("next.node").alias("at"), F.lit(1).alias("way"), F.concat("own", F.array("link"), "next.own").alias("said"))),
+        F.when(F.col("l2"), F.struct(F.col("node").alias("at"), F.lit(0).alias("way"), F.concat(F.array("link"), "next.own").alias("said"))),
+    )).alias("x")).where("x is not null").select("x.*")
+    more = F.first(F.when(F.col("way") == 0, F.col("said"))).over(Window.partitionBy("at").orderBy("way").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return ways.withColumn("more", more).where("way = 1").select(F.concat("said", F.coalesce("more", F.array().cast("array<int>"))).cast("array<string>").alias("sentence"))
 
 
 def train_vectors(sentences: DataFrame, partitions: int) -> np.ndarray:
@@ -235,17 +263,33 @@ def train_vectors(sentences: DataFrame, partitions: int) -> np.ndarray:
     return out
 
 
+def _numbered(texts: Iterable[str]) -> tuple[list[list[str]], list[str], np.ndarray]:
+    """The words of each title, the distinct ones of all, and for one title after the other the place of each of its words among those."""
+    titles = [x.split() for x in texts]
+    every = list(chain.from_iterable(titles))
+    known = {w: i for i, w in enumerate(dict.fromkeys(every))}
+    return titles, list(known), np.fromiter(map(known.__getitem__, every), np.int64, len(every))
+
+
 def frequencies(records: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """In how many titles each bucket of letter groups and each bucket of words occurs, over all records."""
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(2 * BUCKETS, np.int64)
         for pdf in it:
-            seen: list[int] = []
-            for x in pdf["words"]:
-                words = x.split()
-                seen.extend(set(map(_word, words)).union(*map(_letters, words)))
-            total += np.bincount(np.array(seen, np.int64), minlength=2 * BUCKETS)
+            for at in range(0, len(pdf), 2_000):
+                titles, words, place = _numbered(pdf["words"][at : at + 2_000])
+                groups = [(_word(w), *_letters(w)) for w in words]
+                size = np.fromiter(map(len, groups), np.int64, len(groups))
+                flat = np.fromiter(chain.from_iterable(groups), np.int64, int(size.sum()))
+                # one row a title and group of a word of it
+                many = size[place]
+                within = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+                group = flat[np.repeat((np.cumsum(size) - size)[place], many) + within]
+                title = np.repeat(np.repeat(np.arange(len(titles)), [len(x) for x in titles]), many)
+                said = np.sort(title * (2 * BUCKETS) + group)  # np.unique hashes, which takes longer
+                once = said[np.flatnonzero(np.diff(said, prepend=-1))]
+                total += np.bincount(once % (2 * BUCKETS), minlength=2 * BUCKETS)
         hit = np.flatnonzero(total)
         yield pd.DataFrame({"c": hit, "n": total[hit]})
 
@@ -414,6 +458,51 @@ def compare_titles(a: list[str], b: list[str], weight: Weights) -> tuple[float,
     return (got / total if total else 0.0), min(3, other)
 
 
+def compare_all(texts: Iterable[str], x: np.ndarray, y: np.ndarray, weight: Weights) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`compare_titles` for each pair of places ``x`` and ``y`` in ``texts``.
+
+    Words that both titles have are told in arrays, and so is which of the others may be alike, by length and letters. Pairs with
+    words that are, with a title that repeats a word or with one of more than ``MOST_WORDS`` words are compared one by one.
+    """
+    titles, words, place = _numbered(texts)
+    size = np.array([len(t) for t in titles])
+    row = np.repeat(np.arange(len(titles)), size)
+    column = np.arange(len(place)) - np.repeat(np.cumsum(size) - size, size)
+    short = column < MOST_WORDS
+    grid = np.full((len(titles), min(MOST_WORDS, max(1, int(size.max(initial=0))))), -1)
+    grid[row[short], column[short]] = place[short]
+    ordered = np.sort(grid, axis=1)
+    alone = (size > MOST_WORDS) | ((ordered[:, 1:] == ordered[:, :-1]) & (ordered[:, 1:] >= 0)).any(axis=1)
+
+    # what is known of a word; the last place stands for none
+    length = np.array([*map(len, words), 0])
+    signs = np.array([*map(_signs, words), 0], np.uint64)
+    first = np.array([*(ord(w[0]) for w in words), 0])
+    counts = np.array([*(weight[w] for w in words), 0.0])
+    name = (counts > 1) & (length >= 4)
+
+    a, b = grid[x], grid[y]
+    equal = (a[:, :, None] == b[:, None, :]) & (a >= 0)[:, :, None]
+    both = equal.any(axis=2)
+    only, left = (a >= 0) & ~both, (b >= 0) & ~equal.any(axis=1)
+    got = (counts[a] * both).sum(axis=1)
+    total = got + (counts[a] * only).sum(axis=1) + (counts[b] * left).sum(axis=1) / 2
+    share = np.divide(got, total, out=np.zeros(len(x)), where=total > 0)
+    other = np.minimum(3, (name[a] & only).sum(axis=1) + (name[b] & left).sum(axis=1))
+
+    pair, i, j = np.nonzero(only[:, :, None] & left[:, None, :])
+    p, q = a[pair, i], b[pair, j]
+    least = np.minimum(length[p], length[q])
+    more, less = np.bitwise_count(signs[p] & ~signs[q]), np.bitwise_count(signs[q] & ~signs[p])
+    maybe = (least >= 4) & (np.abs(length[p] - length[q]) <= 2) & (more <= 2) & (less <= 2)
+    maybe |= (least >= 3) & (first[p] == first[q]) & ((more == 0) | (less == 0))
+    single = alone[x] | alone[y]
+    single[[k for k, u, v in zip(pair[maybe].tolist(), p[maybe].tolist(), q[maybe].tolist()) if _alike(words[u], words[v])]] = True
+    for k in np.flatnonzero(single).tolist():
+        share[k], other[k] = compare_titles(titles[x[k]], titles[y[k]], weight)
+    return share, other
+
+
 _FEATURES = ("words", "entity", "dated", "trait")
 #: The code of two equal titles: see :func:`_title_codes`.
 _EQUAL = (10 * 10 + 9) * 4
@@ -438,9 +527,8 @@ def _title_codes(shared):  # noqa: ANN001, ANN202
                 v = _unit((_unit(sums(words)) - mean) @ turn)
                 x, y = place[: len(part)], place[len(part) :]
                 near = np.clip((np.einsum("nd,nd->n", v[x], v[y]) * 10).astype(int), 0, 9)
-                shares = [compare_titles(words[i], words[j], weight) for i, j in zip(x.tolist(), y.tolist())]
-                share, other = np.array(shares).T
-                out[part] = ((10 * share).astype(int) * 10 + near) * 4 + other.astype(int)
+                share, other = compare_all(titles, x, y, weight)
+                out[part] = ((10 * share).astype(int) * 10 + near) * 4 + other
             yield pd.Series(out)
 
     return codes
@@ -547,7 +635,7 @@ def match_records(left: DataFrame, right: DataFrame) -> DataFrame:
     ]
     both = sides[0].unionByName(sides[1]).where(F.col("rid").isNotNull() & (F.length(F.trim("title")) > 0))
     spark = both.sparkSession
-    records = cut_table(both.mapInPandas(_describe, _SHAPE).withColumn("node", F.xxhash64("rid", "side")))
+    records = cut_table(both.mapInArrow(_describe_batches, _SHAPE).withColumn("node", F.xxhash64("rid", "side")))
     release(spark)
     kind = "left_id string, right_id string, confidence double"
     counts = {r["side"]: r["count"] for r in records.groupBy("side").count().collect()}
@@ -555,7 +643,9 @@ def match_records(left: DataFrame, right: DataFrame) -> DataFrame:
         return spark.createDataFrame([], kind)
     n = sum(counts.values())
 
-    vectors = train_vectors(random_walks(records), max(1, spark.sparkContext.defaultParallelism))
+    walks = cut_table(random_walks(records))  # the training reads them twice
+    vectors = train_vectors(walks, max(1, spark.sparkContext.defaultParallelism))
+    drop_table(walks)
     release(spark)
     groups, known_words = frequencies(records)
     table = vectors[:BUCKETS] * np.minimum(np.log((n + 1.0) / np.maximum(groups, 1)), MOST_WEIGHT).astype(np.float32)[:, None]
@@ -574,35 +664,37 @@ def match_records(left: DataFrame, right: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast((table, mean, turn, planes, vectors[BUCKETS:], flat_planes, common))
 
     def hashed(side: int):  # noqa: ANN202
-        def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             table, mean, turn, planes, attributes, flat, common = shared.value
             power, sums = (1 << np.arange(bits)).astype(np.int64), Sums(table)
             named_by = Names(common)
             for whole in it:
                 for at in range(0, len(whole), 2_000):
-                    pdf = whole.iloc[at : at + 2_000].reset_index(drop=True)
-                    titles = [x.split() for x in pdf["words"]]
+                    words, *parts = (whole.column(c).slice(at, 2_000).to_pylist() for c in ("words", "ref_year", "ref_no", "head", "rest"))
+                    titles = [x.split() for x in words]
                     v = _unit((_unit(sums(titles)) - mean) @ turn)
                     margin = (v @ planes).reshape(len(v), TABLES, bits)
                     base = (margin > 0) @ power
                     keys = [base]
                     if side:
-                        unsure = np.abs(margin).argsort(axis=2)[:, :, :UNSURE]
+                        unsure = np.abs(margin).argpartition(UNSURE, axis=2)[:, :, :UNSURE]
                         flips = power[unsure] * np.where(np.take_along_axis(margin, unsure, 2) > 0, -1, 1)
                         keys = [base + sum((flips[:, :, j] for j in range(UNSURE) if s >> j & 1), np.zeros_like(base)) for s in range(1 << UNSURE)]
                     names = np.ascontiguousarray(named_by.of(titles))
-                    views = np.concatenate([k.astype(np.int64) * TABLES + np.arange(TABLES) for k in keys] + [np.zeros((len(pdf), 1), np.int64)], axis=1)
+                    views = np.concatenate([k.astype(np.int64) * TABLES + np.arange(TABLES) for k in keys] + [np.zeros((len(titles), 1), np.int64)], axis=1)
                     # the attributes' own vectors: reference and entity
-                    refs = pdf["ref_no"].to_numpy() != ""
-                    named = [[_hash(f"reference:{y}/{r}"), _hash(f"entity:{h}/{e}")] for y, r, h, e in zip(pdf["ref_year"][refs], pdf["ref_no"][refs], pdf["head"][refs], pdf["rest"][refs])]
+                    refs = np.array([r != "" for r in parts[1]])
+                    named = [[_hash(f"reference:{y}/{r}"), _hash(f"entity:{h}/{e}")] for y, r, h, e in zip(*parts) if r != ""]
                     if named:
                         b = np.array(named) & (BUCKETS - 1)
                         views[refs, -1] = -1 - ((attributes[b[:, 0]] + 0.5 * attributes[b[:, 1]]) @ flat > 0) @ (1 << np.arange(40)).astype(np.int64)
-                    width = views.shape[1]
-                    yield pd.DataFrame({
-                        "keys": [row[: width if known else width - 1] for row, known in zip(views, refs)], "node": pdf["node"], "exact": pdf["exact"],
-                        "day": pdf["day"].astype("Int32"), "basis": pdf["basis"], "x": names[:, 0], "y": names[:, 1],
-                    })
+                    kept = np.ones(views.shape, bool)
+                    kept[:, -1] = refs
+                    ends = np.cumsum(kept.sum(axis=1))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(views[kept])), *(whole.column(c).slice(at, len(titles)) for c in ("node", "exact", "day", "basis")), *map(pa.array, names.T.copy())],
+                        ["keys", "node", "exact", "day", "basis", "x", "y"],
+                    )
 
         columns = ["node", "words", "ref_year", "ref_no", "head", "rest", "day", "basis", F.xxhash64("lot", "fy").alias("exact")]
         mine = records.where(F.col("side") == side)
@@ -612,7 +704,7 @@ def match_records(left: DataFrame, right: DataFrame) -> DataFrame:
             once = mine.where(title.isin(common_keys)).groupBy(title.alias("node")).agg(F.first("words").alias("words"), F.first(F.xxhash64("lot", "fy")).alias("exact"))
             empty = [F.lit("").alias(c) for c in ("ref_year", "ref_no", "head", "rest")]
             marked = marked.unionByName(once.select("node", "words", *empty, none("day", "int"), F.lit(0).alias("basis"), "exact"))
-        rows = marked.mapInPandas(run, "keys array<bigint>, node bigint, exact bigint, day int, basis int, x bigint, y bigint")
+        rows = marked.mapInArrow(run, "keys array<bigint>, node bigint, exact bigint, day int, basis int, x bigint, y bigint")
         rows = rows.select(F.explode("keys").alias("k"), "node", "exact", "day", "basis", "x", "y")
         blocks = rows.select(F.xxhash64("k", "exact").alias("key"), "node", "day", "basis", "x", "y", F.lit(False).alias("sure"))
         # one reference, where at most one of the two lacks its series or both do; a reference that many have is no sure sign
@@ -643,7 +735,7 @@ def match_records(left: DataFrame, right: DataFrame) -> DataFrame:
         F.col("rest").alias(f"{p}rest"), F.col("short").alias(f"{p}short"), F.col("series").alias(f"{p}1"), F.col("ref_year").alias(f"{p}2"), F.col("ref_no").alias(f"{p}3"),
         F.col("day").alias(f"{p}d"), title.isin(common_keys).alias(f"{p}common"), *([F.col("basis"), F.col("trait")] if k == 0 else []),
     )
-    wide = met.join(side(0, "t"), "tn").join(side(1, "a"), "an").where("tphase = aphase or tphase = '' or aphase = ''")
+    wide = met.join(side(0, "t").hint("shuffle_hash"), "tn").join(side(1, "a"), "an").where("tphase = aphase or tphase = '' or aphase = ''")
     # a common title beside another one is weighed as any two titles are, but tells nothing: there are too many of such pairs
     same = F.col("tcommon") & (F.col("twords") == F.col("awords"))
     wide = wide.withColumn("common", same).withColumn("told", F.col("told") & (same | ~(F.col("tcommon") | F.col("acommon"))))

@@ -84,8 +84,24 @@ def drop_table(df: DataFrame) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of plans that are done, which it does when the driver collects garbage."""
+    """Let Spark's cleaner drop the shuffle files of plans that are done, which it does when the driver collects garbage.
+
+    What Python no longer refers to is told to the JVM by a thread that may sleep a second between; until then the JVM keeps it, and
+    its files. So whatever that thread has not done yet is done here first.
+    """
     gc.collect()
+    client = spark.sparkContext._gateway._gateway_client
+    waiting = getattr(client, "finalizer_deque", None)
+    for _ in range(len(waiting or ())):
+        try:
+            task = waiting.pop()
+        except IndexError:
+            break
+        if isinstance(task, tuple):
+            task[0].garbage_collect_object(task[1], False)
+        else:
+            waiting.append(task)
+            break
     spark._jvm.System.gc()
 
 

@@ -1,3 +1,5 @@
+from collections import deque
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -126,6 +128,52 @@ def test_words_are_summed_and_compared_once():
     assert m._near.cache_info().misses - asked < len(words) ** 2 / 4
 
 
+def test_titles_are_compared_in_arrays(monkeypatch):
+    """Compared at once, titles tell what they tell one by one, and few of them have to be compared one by one."""
+    rng = np.random.default_rng(4)
+    common = ["supply", "repair", "school", "road", "beds", "a", "1", "design", "roof", "kerbs"]
+    names = ["".join(rng.choice(list("bdfgklmnprst")) + rng.choice(list("aeiou")) for _ in range(4)) for _ in range(150)]
+    titles = [" ".join([*rng.choice(common, rng.integers(0, 6)), *rng.choice(names, rng.integers(0, 3))]) for _ in range(400)]
+    titles += [x.replace("e", "", 1) for x in titles[:50]] + [" ".join(names[:40]), " ".join(names[1:31] * 3), ""]
+    known = np.zeros(m.BUCKETS, bool)
+    known[[m._word(w) - m.BUCKETS for w in common]] = True
+    weight = m.Weights(known)
+    x, y = rng.integers(0, len(titles), 3_000), rng.integers(0, len(titles), 3_000)
+    x[:4], y[:4] = [450, 451, 452, 450], [451, 450, 450, 452]
+    want = np.array([m.compare_titles(titles[i].split(), titles[j].split(), weight) for i, j in zip(x, y)])
+    single, plain = [], m.compare_titles
+    monkeypatch.setattr(m, "compare_titles", lambda *a: single.append(1) or plain(*a))
+    share, other = m.compare_all(titles, x, y, weight)
+    assert (share == want[:, 0]).all() and (other == want[:, 1]).all()
+    assert len(single) < 0.8 * len(x)
+
+
+def test_frequencies_count_titles(spark):
+    """A group or word that a title has twice counts once, and batches add up."""
+    titles = ["supply supply beds", "beds of bed", "", "repair road", "road beds"] * 1_000
+    groups, words = m.frequencies(spark.createDataFrame([(x,) for x in titles], "words string"))
+    want = np.zeros(2 * m.BUCKETS, np.int64)
+    for x in titles:
+        for c in {m._word(w) for w in x.split()}.union(*map(m._letters, x.split())):
+            want[c] += 1
+    assert (np.concatenate([groups, words]) == want).all()
+
+
+def test_release_tells_the_jvm_first(spark, monkeypatch):
+    """What Python dropped is unknown to the JVM once ``release`` is done, so that its shuffle files can go."""
+    from tamarind.session import release
+
+    client, waiting = spark.sparkContext._gateway._gateway_client, deque()
+    monkeypatch.setattr(client, "finalizer_deque", waiting)  # which no thread empties
+    frames = [spark.range(10).withColumn("k", F.lit(i)) for i in range(20)]
+    assert len(frames) == 20
+    del frames
+    before = {id(x) for x in waiting}
+    kept = list(waiting)
+    release(spark)
+    assert len(kept) >= 20 and not before & {id(x) for x in waiting}
+
+
 def test_learned_vectors_matter(spark):
     """Of pairs with one reference and differing titles, learned vectors bring more into one block than random ones do."""
     left, right = p7_sides(spark, "/root/testdata/sf0.1")
